@@ -1,0 +1 @@
+"""Empty on purpose: items arrive as one finite batch, so no operation here is a stream."""
