@@ -203,8 +203,9 @@ class SqlExecutor:
             raise TableOperationError(f"Unknown column(s): {', '.join(unknown)}")
         view = f"tablesmith_{uuid.uuid4().hex}"
         own = quoted(write.alias)
-        extra = [f"({text}) AS `__v{i}`" for i, (_, text) in enumerate(write.assignments)]
-        extra.append(f"coalesce(({write.condition or 'true'}), false) AS `__hit`")
+        # Line ends keep a comment at the end of a piece from swallowing what follows.
+        extra = [f"({text}\n) AS `__v{i}`" for i, (_, text) in enumerate(write.assignments)]
+        extra.append(f"coalesce(({write.condition or 'true'}\n), false) AS `__hit`")
         target.createOrReplaceTempView(view)
         try:
             marked = self.spark.sql(
