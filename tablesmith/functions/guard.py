@@ -1,13 +1,16 @@
 """The read-only guard: which SQL statements may run while writes are switched off.
 
-Two layers, and a statement must pass both. The lexical layer is a Column expression, so it can judge
-a whole column of statements. The second layer asks Spark's own parser what kind of statement it is,
+Two layers, and a statement must pass both. The lexical layer is built from Column expressions, so
+it can judge a whole column of statements. The second layer asks Spark's own parser what kind of statement it is,
 because Spark knows more ways to quote and more statements than the lexical rule.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, SparkSession, functions as F
+import functools
+import operator
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..errors import TableOperationError
 from .parsed import parse, writes_or_runs
@@ -35,34 +38,44 @@ UNTERMINATED = "unterminated"
 
 # One alternation matched from left to right finds every quoted span and comment where it starts, so
 # a quote inside another kind of span is not mistaken for an opening one. Possessive quantifiers keep
-# a match from backing into a span that is not closed.
+# a match from backing into a span that is not closed. The look-ahead passes over plain text quickly.
 _SPAN = (
+    r"(?=['\"`/-])(?:"
     r"'[^'\\]*+(?:(?:\\(?s:.)|'')[^'\\]*+)*+'"
     r'|"[^"\\]*+(?:(?:\\(?s:.)|"")[^"\\]*+)*+"'
     r"|`[^`]*+(?:``[^`]*+)*+`"
     r"|--[^\n]*+"
-    r"|/\*(?s:.*?)\*/"
+    r"|/\*[^*]*+(?:\*(?!/)[^*]*+)*+\*/)"
 )
-_LEFTOVER = r"['\"`]|/\*"
-_WORD = r"[A-Za-z_]\w*"
+_OPENERS = ("'", '"', "`", "/*")
+
+
+def _has_word(bare: Column, words) -> Column:
+    """A word starts at a letter or underscore; digits before it do not belong to it."""
+    return bare.rlike(rf"(?i)(?<!\w)[0-9]*+(?:{'|'.join(words)})(?!\w)")
+
 
+def lexical_verdicts(df: DataFrame, statement: str, verdict: str = "verdict") -> DataFrame:
+    """Judge a column of statements by their words outside quotes and comments.
 
-def lexical_verdict(statement: Column) -> Column:
-    """Judge statements by their words outside quotes and comments."""
-    bare = F.regexp_replace(statement, F.lit(_SPAN), F.lit(" "))
-    words = F.transform(F.regexp_extract_all(bare, F.lit(_WORD), F.lit(0)), F.upper)
-    prohibited = F.array(*[F.lit(word) for word in PROHIBITED_WORDS])
-    reads = F.array_contains(words, "SELECT") & ~F.arrays_overlap(words, prohibited)
-    return (
-        F.when(bare.rlike(_LEFTOVER), UNTERMINATED)
+    The stripped text is a column of its own, so it is made once and looked at three times.
+    """
+    bare = F.col("__bare")
+    opened = functools.reduce(operator.or_, [bare.contains(mark) for mark in _OPENERS])
+    reads = _has_word(bare, ["SELECT"]) & ~_has_word(bare, PROHIBITED_WORDS)
+    judged = (
+        F.when(opened, UNTERMINATED)
         .when(reads, READ_ONLY)
         .otherwise(NOT_A_SELECT)
     )
+    stripped = df.withColumn("__bare", F.regexp_replace(statement, F.lit(_SPAN), F.lit(" ")))
+    return stripped.withColumn(verdict, judged).drop("__bare")
 
 
 def require_read_only(spark: SparkSession, statement: str, item: int | None = None) -> None:
     """Refuse a statement that is not a read."""
-    verdict = spark.range(1).select(lexical_verdict(F.lit(statement))).first()[0]
+    row = spark.createDataFrame([(statement,)], "statement string")
+    verdict = lexical_verdicts(row, "statement").first().verdict
     if verdict == UNTERMINATED:
         raise TableOperationError(
             "The read-only guard could not judge this query: it contains an unterminated string "

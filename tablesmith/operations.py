@@ -120,10 +120,22 @@ class TableOperations:
         rows = concatenated(results) if results else None
         return rows, outcome_rows(self.spark, errors).select("item", "error")
 
-    def select_items(self, schema: str, table: str, items: Items, where, combine="AND", sort=(), limit=None):
+    def select_items(
+        self,
+        schema: str,
+        table: str,
+        items: Items,
+        where: Sequence[Condition],
+        combine: str = "AND",
+        sort: Sequence[SortRule] = (),
+        limit=None,
+        *,
+        ordered: bool = False,
+    ) -> tuple[DataFrame, DataFrame]:
         """One read per item of a set, as one plan: (rows with ``item``, error rows)."""
         info = self.store.info(schema, table)
-        return select_per_item(self.store.read(info), items, where, combine, sort, limit)
+        target = self.store.read(info)
+        return select_per_item(target, items, where, combine, sort, limit, ordered=ordered)
 
     # -- batch writes ----------------------------------------------------------------------------
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 OUTCOME_SCHEMA = "item bigint, affectedRows bigint, error string"
 
@@ -46,12 +46,13 @@ def counted(rows: DataFrame, marks: dict) -> DataFrame:
     )
 
 
-def with_counts(items: DataFrame, counts: DataFrame, errors: DataFrame) -> DataFrame:
-    """One outcome row per item: its count (0 when it matched nothing) or its error."""
-    done = items.join(counts, "item", "left").select(
-        "item",
-        F.coalesce("affectedRows", F.lit(0).cast("bigint")).alias("affectedRows"),
-        F.lit(None).cast("string").alias("error"),
-    )
+def counted_rows() -> Column:
+    """The affected rows of an item that may have matched nothing."""
+    return F.coalesce("affectedRows", F.lit(0).cast("bigint")).alias("affectedRows")
+
+
+def with_errors(counts: DataFrame, errors: DataFrame) -> DataFrame:
+    """One outcome row per item: its count or its error."""
+    done = counts.select("item", "affectedRows", F.lit(None).cast("string").alias("error"))
     failed = errors.select("item", F.lit(None).cast("bigint").alias("affectedRows"), "error")
     return done.unionByName(failed)

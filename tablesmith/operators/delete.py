@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.predicates import Condition, predicate
 from ..functions.values import col
 from ..sources.items import ITEM, Items, bind_items
-from ..sources.scratch import broadcast_if_small
-from .change import Change, counted, with_counts
+from ..sources.scratch import fits_broadcast
+from .change import Change, counted, counted_rows, with_errors
 from .matching import (
     ITEM_ARRAY,
     array_predicate,
@@ -20,6 +20,7 @@ from .matching import (
     key_equality,
     key_match,
     require_item_value,
+    rows_per_key,
 )
 from .update import require_where
 
@@ -65,12 +66,19 @@ def delete_per_item(
     if match is not None:
         keys = key_columns(match)
         per_key = bound.valid.groupBy(*keys).agg(F.min(ITEM).alias(_FIRST))
-        side = broadcast_if_small(per_key)
+        small = fits_broadcast(per_key)
+        side = F.broadcast(per_key) if small else per_key
         on = key_equality(where, match)
         if match.residual:
             on = on & predicate(df.schema, match.residual)
         image = df.join(side, on, "left_anti")
-        hit = df.join(side, on)
+        hit = df.join(side, on, "left_semi")
+        sizes = rows_per_key(df, per_key, where, match, small)
+        counts = per_key.join(
+            F.broadcast(sizes) if small else sizes, key_equality(where, match)
+        ).select(F.col(_FIRST).alias("item"), "affectedRows")
+        if small:
+            counts = F.broadcast(counts)
     else:
         marked = df.withColumn(_FIRST, F.lit(None).cast("bigint"))
         for slice_ in item_slices(bound):
@@ -82,6 +90,8 @@ def delete_per_item(
             marked = marked.withColumn(_FIRST, F.coalesce(_FIRST, first)).drop(ITEM_ARRAY)
         image = marked.where(F.col(_FIRST).isNull()).select(*names)
         hit = marked.where(F.col(_FIRST).isNotNull())
-    counts = hit.groupBy(F.col(_FIRST).alias("item")).agg(F.count("*").alias("affectedRows"))
+        counts = hit.groupBy(F.col(_FIRST).alias("item"))
+        counts = counts.agg(F.count("*").alias("affectedRows"))
     valid = bound.valid.select(F.col(ITEM).alias("item"))
-    return Change(image, with_counts(valid, counts, bound.errors), hit)
+    counts = valid.join(counts, "item", "left").select("item", counted_rows())
+    return Change(image, with_errors(counts, bound.errors), hit)

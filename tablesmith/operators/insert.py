@@ -70,12 +70,13 @@ def _strict_value(items: Items, name: str, dtype: T.DataType):
         raw.cast("string"),
         F.lit(f" is not a valid {dtype.simpleString()}"),
     )
-    nested = F.concat(F.lit("Item "), F.col(ITEM).cast("string"), F.lit(f': "{name}" is nested'))
-    return (
-        F.when(items.nested(name), F.raise_error(nested))
-        .when(raw.isNotNull() & value.isNull(), F.raise_error(message))
-        .otherwise(value)
-    )
+    checked = F.when(raw.isNotNull() & value.isNull(), F.raise_error(message)).otherwise(value)
+    checked = checked if value is not raw else value
+    if items.may_nest(name):
+        item = F.col(ITEM).cast("string")
+        text = F.concat(F.lit("Item "), item, F.lit(f': "{name}" is nested'))
+        checked = F.when(items.nested(name), F.raise_error(text)).otherwise(checked)
+    return checked
 
 
 def mapping_rows(df: DataFrame, mappings: str, schema: T.StructType, index: str = "item"):

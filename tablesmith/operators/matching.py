@@ -65,6 +65,24 @@ def key_columns(match: KeyMatch) -> list[str]:
     return [f"__w{position}" for position in match.keys]
 
 
+def rows_per_key(
+    df: DataFrame, per_key: DataFrame, conditions: Sequence[Condition], match: KeyMatch, small: bool
+) -> DataFrame:
+    """How many table rows hold each key: the key columns and ``affectedRows``.
+
+    Reads only the columns of the conditions. Rows are combined per key before the shuffle, so one
+    frequent key costs one row per task. A small set of keys also drops all other rows before it.
+    """
+    if match.residual:
+        df = df.where(predicate(df.schema, match.residual))
+    names = [col(name) for name in dict.fromkeys(conditions[i].column for i in match.keys)]
+    rows = df.select(*names)
+    if small:
+        keys = F.broadcast(per_key.select(*key_columns(match)))
+        rows = rows.join(keys, key_equality(conditions, match), "left_semi")
+    return rows.groupBy(*names).agg(F.count("*").alias("affectedRows"))
+
+
 def array_predicate(
     schema: T.StructType, conditions: Sequence[Condition], combine: str, item: Column, column_of=col
 ) -> Column:

@@ -89,11 +89,13 @@ def select_per_item(
     limit=None,
     *,
     nulls: str = "last",
+    ordered: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """One read per item, as one plan: (rows with their ``item``, error rows).
 
-    A sort orders the rows of each item and a limit cuts them per item. The relation itself is
-    ordered by item only when a sort is given.
+    A sort decides which rows of an item a limit keeps. ``ordered`` also sorts the relation by item
+    and then by the rules, as the results of single reads one after the other would be; that costs
+    a shuffle of the result.
     """
     require_item_value(where)
     ordering = sort_columns(df.columns, sort, nulls)
@@ -130,7 +132,7 @@ def select_per_item(
         )
         if n is not None:
             found = top_n(found, ["item"], ordering, n)
-    if ordering:
+    if ordered:
         found = found.orderBy("item", *ordering)
     return found, bound.errors
 

@@ -14,7 +14,7 @@ from ..functions.predicates import Condition, FromItem, predicate
 from ..functions.values import assignment_literal, col, storage_type
 from ..sources.items import ITEM, Items, bind_items
 from ..sources.scratch import fits_broadcast
-from .change import Change, counted, with_counts
+from .change import Change, counted, counted_rows, with_errors
 from .matching import (
     ITEM_ARRAY,
     array_predicate,
@@ -23,6 +23,7 @@ from .matching import (
     key_equality,
     key_match,
     require_item_value,
+    rows_per_key,
 )
 
 
@@ -113,8 +114,7 @@ def update_per_item(
         image, counts, touched = _update_by_key(df, bound, changed, where, match)
     else:
         image, counts, touched = _update_by_array(df, bound, changed, where, combine)
-    valid = bound.valid.select(F.col(ITEM).alias("item"))
-    return Change(image, with_counts(valid, counts, bound.errors), touched, tuple(changed))
+    return Change(image, with_errors(counts, bound.errors), touched, tuple(changed))
 
 
 def _update_by_key(df, bound, changed, where, match):
@@ -146,19 +146,10 @@ def _update_by_key(df, bound, changed, where, match):
         ]
     )
 
-    # Counting reads the key columns only. Rows are combined per key before the shuffle, so one
-    # frequent key costs one row per task.
-    rows = df
-    if match.residual:
-        rows = rows.where(predicate(df.schema, match.residual))
-    names = list(dict.fromkeys(where[position].column for position in match.keys))
-    rows = rows.select(*[col(name) for name in names])
-    if small:
-        rows = rows.join(F.broadcast(per_key.select(*keys)), key_equality(where, match), "left_semi")
-    sizes = rows.groupBy(*[col(name) for name in names]).agg(F.count("*").alias("affectedRows"))
-    counts = bound.valid.join(sizes, key_equality(where, match)).select(
-        F.col(ITEM).alias("item"), "affectedRows"
-    )
+    sizes = rows_per_key(df, per_key, where, match, small)
+    counts = bound.valid.join(
+        F.broadcast(sizes) if small else sizes, key_equality(where, match), "left"
+    ).select(F.col(ITEM).alias("item"), counted_rows())
     return image, counts, df.join(side, on, "left_semi")
 
 
@@ -204,4 +195,6 @@ def _update_by_array(df, bound, changed, where, combine):
         .groupBy("item")
         .agg(F.count("*").alias("affectedRows"))
     )
+    valid = bound.valid.select(F.col(ITEM).alias("item"))
+    counts = valid.join(counts, "item", "left").select("item", counted_rows())
     return image.drop("__hits"), counts, image.where(F.size("__hits") > 0)

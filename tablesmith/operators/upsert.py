@@ -69,35 +69,47 @@ def duplicate_rows(source: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def check_source(source: DataFrame, keys: Sequence[str]) -> None:
-    """Raise before anything is written when a key is NULL or held by several source rows."""
-    missing = null_keys(source, keys).agg(
-        F.min(F.struct("item", "position", "key")).alias("first")
+    """Raise before anything is written when a key is NULL or held by several source rows.
+
+    One job: the rows are combined per key first, and both verdicts come from the combined rows.
+    """
+    grouped = source.groupBy(*[col(key).alias(f"k{i}") for i, key in enumerate(keys)]).agg(
+        F.count("*").alias("rows"), F.min(ITEM).alias("first_item")
+    )
+    missing = [
+        F.min(
+            F.when(F.col(f"k{i}").isNull(), F.struct(F.col("first_item"), F.lit(i).alias("key")))
+        )
+        for i in range(len(keys))
+    ]
+    group = F.struct("first_item", "rows", *[f"k{i}" for i in range(len(keys))])
+    verdict = grouped.agg(
+        (F.least(*missing) if len(missing) > 1 else missing[0]).alias("missing"),
+        F.min(F.when(F.col("rows") > 1, group)).alias("repeated"),
     ).first()
-    if missing.first is not None:
-        item, _, key = missing.first
+    if verdict.missing is not None:
+        item, key = verdict.missing
         raise TableOperationError(
-            f'Row {item} has no value for key column "{key}". A NULL key never equals anything, so '
-            "the row would be inserted again on every run instead of updating the existing one. "
-            "Give every row a value for each key column, or choose other key columns.",
+            f'Row {item} has no value for key column "{keys[key]}". A NULL key never equals '
+            "anything, so the row would be inserted again on every run instead of updating the "
+            "existing one. Give every row a value for each key column, or choose other key columns.",
             item,
         )
-    first = duplicate_keys(source, keys).agg(
-        F.min(F.struct("first_item", "rows", *[col(key) for key in keys])).alias("first")
-    ).first()
-    if first.first is None:
+    if verdict.repeated is None:
         return
-    group = first.first
+    group = {key: verdict.repeated[f"k{i}"] for i, key in enumerate(keys)}
+    first_item, count = verdict.repeated.first_item, verdict.repeated.rows
     same = _equal([(col(key), F.lit(group[key])) for key in keys])
     rows = source.where(same).select(F.col(ITEM).alias("item"), *[col(key) for key in keys])
     named = [str(row.item) for row in rows.orderBy("item").limit(_ROWS_IN_MESSAGE).collect()]
-    rest = group.rows - len(named)
+    rest = count - len(named)
     listing = ", ".join(named) + (f" and {rest} more" if rest else "")
     values = ", ".join(f"{key} = {group[key]!r}" for key in keys)
     raise TableOperationError(
         f"Rows {listing} all have the same key value(s) ({values}). Rows of a batch are matched "
         "with the table, not with each other, so every row needs its own key. Remove the "
         "duplicates, or add a key column that tells these rows apart.",
-        group.first_item,
+        first_item,
         rows,
     )
 

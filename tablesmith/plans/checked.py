@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.guard import lexical_verdict
+from ..functions.guard import lexical_verdicts
 from ..functions.ordering import SortRule
 from ..functions.predicates import Condition, FromItem
 from ..functions.text import cut_middle, factorial, fibonacci, weighted_length
@@ -844,8 +844,10 @@ def _guard(spark, folder):
     statements = table(spark, folder, "documents").select(
         "doc_id", "text", F.explode(templates).alias("t")
     )
-    statement = F.concat("t.head", "text", "t.tail")
-    return statements.select("doc_id", "t.kind", lexical_verdict(statement).alias("verdict"))
+    statements = statements.select(
+        "doc_id", "t.kind", F.concat("t.head", "text", "t.tail").alias("statement")
+    )
+    return lexical_verdicts(statements, "statement").select("doc_id", "kind", "verdict")
 
 
 @checked(

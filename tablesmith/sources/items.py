@@ -57,29 +57,34 @@ class Items:
         opened = self.df.withColumn(ITEM, col(self.index).cast("bigint"))
         if self.json is None:
             return opened
-        return opened.withColumn(_JSON, F.from_json(col(self.json), "map<string,variant>"))
+        return opened.withColumn(_JSON, F.from_json(col(self.json), "map<string,string>"))
 
     def value(self, name: str) -> tuple[Column, T.DataType]:
         """The item's value under ``name``: NULL where the key is missing."""
         if self.json is not None:
-            return F.try_variant_get(F.col(_JSON)[name], "$", "string"), T.StringType()
+            return F.col(_JSON)[name], T.StringType()
         if name not in self.columns:
             return F.lit(None).cast("string"), T.StringType()
         return col(name), self.df.schema[name].dataType
 
     def nested(self, name: str) -> Column:
-        """True where the value is an array or an object."""
+        """True where the value is an array or an object; for columns that ``may_nest``."""
         if self.json is not None:
-            kind = F.schema_of_variant(F.col(_JSON)[name])
-            return F.coalesce(kind.startswith("ARRAY") | kind.startswith("OBJECT"), F.lit(False))
-        if name not in self.columns:
-            return F.lit(False)
-        dtype = self.df.schema[name].dataType
-        return F.lit(isinstance(dtype, (T.ArrayType, T.MapType, T.StructType)))
+            # Text may look like an array or object too. Only then the value's kind is looked up.
+            text = F.col(_JSON)[name]
+            kind = F.schema_of_variant(F.from_json(col(self.json), "map<string,variant>")[name])
+            nested = kind.startswith("ARRAY") | kind.startswith("OBJECT")
+            return F.when(text.startswith("{") | text.startswith("["), nested).otherwise(False)
+        return col(name).isNotNull()
+
+    def may_nest(self, name: str) -> bool:
+        if self.json is not None:
+            return True
+        nested = (T.ArrayType, T.MapType, T.StructType, T.VariantType)
+        return name in self.columns and isinstance(self.df.schema[name].dataType, nested)
 
     def malformed(self) -> Column:
-        if self.json is None:
-            return F.lit(False)
+        """For JSON items: True where the text is not an object."""
         return F.col(_JSON).isNull()
 
 
@@ -90,11 +95,14 @@ def index_items(df: DataFrame, order_by: Sequence[str], index: str = "item") ->
     counting and numbering must look at the same partitions. The driver sees one number per
     partition.
     """
-    ordering = [col(name) for name in order_by]
+    # The input position breaks ties, so one value held by many rows spans several partitions.
     position = F.monotonically_increasing_id()
+    ordering = [*[col(name) for name in order_by], F.col("__tie")]
     ranged = (
-        df.repartitionByRange(*ordering)
+        df.withColumn("__tie", position)
+        .repartitionByRange(*ordering)
         .sortWithinPartitions(*ordering)
+        .drop("__tie")
         .withColumn("__slice", F.shiftright(position, 33))
         .withColumn("__at", position.bitwiseAND(F.lit((1 << 33) - 1)))
     )
@@ -152,7 +160,8 @@ def bind_items(
     check_conditions(conditions, combine, schema.names)
     problems: list[tuple[Column, Column]] = []
     outputs: list[Column] = [F.col(ITEM)]
-    problems.append((items.malformed(), F.lit("Item is not a JSON object.")))
+    if items.json is not None:
+        problems.append((items.malformed(), F.lit("Item is not a JSON object.")))
 
     for position, condition in enumerate(conditions):
         if not condition.uses_item:
@@ -161,8 +170,7 @@ def bind_items(
         dtype = right_hand_type(condition, schema[condition.column].dataType)
         value = comparison_cast(raw, source, storage_type(dtype))
         label = f'Where column "{condition.column}"'
-        problems.append(_nested_problem(items, condition.value.name, label))
-        problems.append(_cast_problem(raw, value, dtype, label))
+        problems += _value_problems(items, condition.value.name, raw, value, dtype, label)
         outputs.append(value.alias(f"__w{position}"))
 
     mapping: list[tuple[str, object, Column]] = []
@@ -192,30 +200,37 @@ def bind_items(
             raw, source = items.value(value.name)
             stored = assignment_cast(raw, source, dtype)
             label = f'Column "{name}"'
-            problems.append(_nested_problem(items, value.name, label))
-            problems.append(_cast_problem(raw, stored, dtype, label))
+            problems += _value_problems(items, value.name, raw, stored, dtype, label)
         else:
             stored = assignment_literal(value, dtype)
         outputs.append(stored.cast(storage_type(dtype)).alias(f"__s{position}"))
         outputs.append(present.alias(f"__h{position}"))
 
+    opened = items.opened()
+    columns = tuple(name for name, _, _ in mapping)
+    if not problems:
+        none = opened.sparkSession.createDataFrame([], "item bigint, error string")
+        return Bound(opened.select(*outputs), none, columns)
     message = F.coalesce(*[F.when(failed, text) for failed, text in problems])
-    checked = items.opened().select(*outputs, message.alias(_ERROR))
+    checked = opened.select(*outputs, message.alias(_ERROR))
     return Bound(
         valid=checked.where(F.col(_ERROR).isNull()).drop(_ERROR),
         errors=checked.where(F.col(_ERROR).isNotNull()).select(
             F.col(ITEM).alias("item"), F.col(_ERROR).alias("error")
         ),
-        columns=tuple(name for name, _, _ in mapping),
+        columns=columns,
     )
 
 
-def _cast_problem(raw: Column, value: Column, dtype: T.DataType, label: str):
-    text = F.concat(
-        F.lit(f"{label}: "), raw.cast("string"), F.lit(f" is not a valid {dtype.simpleString()}")
-    )
-    return raw.isNotNull() & value.isNull(), text
-
-
-def _nested_problem(items: Items, name: str, label: str):
-    return items.nested(name), F.lit(f"{label}: a nested value needs an explicit conversion")
+def _value_problems(items: Items, name: str, raw: Column, value: Column, dtype, label: str):
+    """What can be wrong with a value; nothing where it is used as it is."""
+    found = []
+    if items.may_nest(name):
+        text = F.lit(f"{label}: a nested value needs an explicit conversion")
+        found.append((items.nested(name), text))
+    if value is not raw:
+        text = F.concat(
+            F.lit(f"{label}: "), raw.cast("string"), F.lit(f" is not a valid {dtype.simpleString()}")
+        )
+        found.append((raw.isNotNull() & value.isNull(), text))
+    return found

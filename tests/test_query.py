@@ -1,14 +1,13 @@
 """SQL text: results, guard, three modes, UPDATE / DELETE / MERGE."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from tablesmith import Query, SqlExecutor, TableOperationError
 from tablesmith.functions.guard import (
     NOT_A_SELECT,
     READ_ONLY,
     UNTERMINATED,
-    lexical_verdict,
+    lexical_verdicts,
     require_read_only,
 )
 
@@ -89,7 +88,7 @@ def test_lexical_guard_on_a_column_of_statements(spark):
     cases += [(s, UNTERMINATED) for s in OPEN]
     cases.append(("SELECT '" + "x''\\'" * 60000 + "' FROM t", READ_ONLY))
     df = spark.createDataFrame(cases, "s string, expected string")
-    wrong = df.withColumn("found", lexical_verdict(F.col("s"))).where("found != expected")
+    wrong = lexical_verdicts(df, "s").where("verdict != expected")
     assert [row.s[:60] for row in wrong.collect()] == []
 
 
