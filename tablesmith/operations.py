@@ -17,7 +17,7 @@ from .functions.ordering import DEFAULT_LIMIT, SortRule
 from .functions.predicates import Condition, describe
 from .operators.change import OUTCOME_SCHEMA, Change, outcome_rows
 from .operators.delete import DeleteStatement, delete_per_item, delete_rows
-from .operators.insert import batch_rows
+from .operators.insert import batch_rows, mapping_rows
 from .operators.select import concatenated, limited, result_cap, select_per_item, select_rows, tagged
 from .operators.update import UpdateStatement, update_per_item, update_rows
 from .operators.upsert import Upsert, check_key_columns, check_source, upsert_rows
@@ -25,8 +25,9 @@ from .sources.items import ITEM, Items
 from .sources.scratch import pinned
 from .sources.tables import TableInfo, TableStore, settled
 
-# Literal statements folded into one pass over a table.
-STATEMENTS_PER_PASS = 64
+# Literal statements folded into one pass over a table; more would no longer be compiled as one
+# function.
+STATEMENTS_PER_PASS = 32
 BATCH_SCHEMA = "items struct<first: bigint, last: bigint>, affectedRows bigint, error string"
 
 
@@ -144,15 +145,18 @@ class TableOperations:
         schema: str,
         table: str,
         items: Items,
-        mapping: Mapping[str, object] | None = None,
+        mapping: Mapping[str, object] | str | None = None,
         *,
         continue_on_fail: bool = False,
     ) -> DataFrame:
-        """Append all items in one job, all or nothing; one outcome row for the batch."""
+        """Append all items in one job, all or nothing; one outcome row for the batch.
+
+        ``mapping`` gives the columns and their values for all items; as text, it names a column
+        with each item's own mapping; without it, columns come from the first item's keys.
+        """
 
         def run(info: TableInfo, span):
-            rows = batch_rows(items, info.schema, mapping)
-            return self.store.append(info, rows)
+            return self.store.append(info, _rows(items, info, mapping, "insert"))
 
         return self._batch("insert", schema, table, items, run, continue_on_fail)
 
@@ -162,14 +166,14 @@ class TableOperations:
         table: str,
         items: Items,
         keys: Sequence[str],
-        mapping: Mapping[str, object] | None = None,
+        mapping: Mapping[str, object] | str | None = None,
         *,
         continue_on_fail: bool = False,
     ) -> DataFrame:
         """Update rows whose key is known and insert the rest, all or nothing."""
 
         def run(info: TableInfo, span):
-            source = batch_rows(items, info.schema, mapping, purpose="upsert")
+            source = _rows(items, info, mapping, "upsert")
             check_key_columns([name for name in source.columns if name != ITEM], keys)
             # Two checks, the join and the counts read the source: it is computed once.
             return self.merge(info, pinned(source), keys)
@@ -349,6 +353,12 @@ class TableOperations:
         self.store.publish(info, lambda target: change(target, batch))
 
 
+def _rows(items: Items, info: TableInfo, mapping, purpose: str) -> DataFrame:
+    if isinstance(mapping, str):
+        return mapping_rows(items.df, mapping, info.schema, items.index)
+    return batch_rows(items, info.schema, mapping, purpose=purpose)
+
+
 def _where_text(request) -> str:
     try:
         return describe(request.where, request.combine) or "everything"

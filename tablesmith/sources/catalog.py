@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..errors import require_text
+from ..errors import TableOperationError, require_text
 from ..functions.values import quoted
 from .tables import TableStore, sql_text
 
@@ -21,6 +21,8 @@ CONSTRAINT_COLUMNS = (
     "referencedTable string, referencedColumn string"
 )
 
+ERRORS = "item bigint, error string"
+
 # Fixed value: names beginning like this were made up by an engine, not given by a user.
 GENERATED_NAME = "SYS_"
 
@@ -31,11 +33,12 @@ def list_schemas(spark: SparkSession) -> DataFrame:
 
 
 def list_tables(spark: SparkSession, schema: str, include_views: bool = False) -> DataFrame:
-    """Tables of a schema, and its views if asked for, ordered by name."""
+    """Tables of a schema, and its views if asked for, ordered by name; an unknown one has none."""
     schema = require_text(schema, "Schema")
+    known = spark.catalog.databaseExists(quoted(schema))
     found = [
         (schema, t.name, t.description or None, "VIEW" if t.tableType == "VIEW" else "TABLE")
-        for t in spark.catalog.listTables(quoted(schema))
+        for t in (spark.catalog.listTables(quoted(schema)) if known else ())
         if not t.isTemporary
     ]
     every = spark.createDataFrame(found, TABLES)
@@ -157,6 +160,59 @@ def data_dictionary(store: TableStore, schema: str) -> tuple[DataFrame, DataFram
     )
 
 
+def list_tables_of(
+    spark: SparkSession,
+    schemas: Sequence[str],
+    include_views: bool = False,
+    *,
+    continue_on_fail: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """The tables of several schemas, one request each: (rows with ``item``, error rows)."""
+    lists, errors = _per_request(
+        schemas, lambda schema: list_tables(spark, schema, include_views).collect(), continue_on_fail
+    )
+    rows = [(item, *row) for item, found in lists for row in found]
+    return (
+        spark.createDataFrame(rows, "item bigint, " + TABLES).orderBy("item", "name"),
+        spark.createDataFrame(errors, ERRORS),
+    )
+
+
+def describe_tables(
+    store: TableStore, requests: Sequence[tuple[str, str]], *, continue_on_fail: bool = False
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Several (schema, table) requests: (columns with ``item``, constraints with ``item``, error
+    rows)."""
+
+    def describe(request):
+        schema, table = require_text(request[0], "Schema"), require_text(request[1], "Table")
+        return _column_rows(store, schema, table), _constraint_rows(store, schema, table)
+
+    found, errors = _per_request(requests, describe, continue_on_fail)
+    columns = [(item, *row) for item, (rows, _) in found for row in rows]
+    constraints = [(item, *row) for item, (_, rows) in found for row in rows]
+    spark = store.spark
+    return (
+        spark.createDataFrame(columns, "item bigint, " + COLUMNS).orderBy("item", "position"),
+        grouped_constraints(
+            spark.createDataFrame(constraints, "item bigint, " + CONSTRAINT_COLUMNS), ["item"]
+        ),
+        spark.createDataFrame(errors, ERRORS),
+    )
+
+
+def _per_request(requests, run, continue_on_fail: bool):
+    done, errors = [], []
+    for item, request in enumerate(requests):
+        try:
+            done.append((item, run(request)))
+        except Exception as error:
+            if not continue_on_fail:
+                raise TableOperationError(str(error), item) from error
+            errors.append((item, str(error)))
+    return done, errors
+
+
 def comment_on_schema(spark: SparkSession, schema: str, comment: str) -> None:
     spark.sql(f"COMMENT ON SCHEMA {quoted(schema)} IS {sql_text(comment)}")
 

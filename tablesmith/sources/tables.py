@@ -30,6 +30,10 @@ _PARTITION_SWAPS = 10_000
 _SIZED_TEXT = re.compile(r"(?:var)?char\((\d+)\)")
 
 
+def _batches(parts: Sequence[str], size: int = 100) -> list[Sequence[str]]:
+    return [parts[start : start + size] for start in range(0, len(parts), size)]
+
+
 def sql_text(value: str) -> str:
     """A string literal in Spark SQL."""
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
@@ -167,9 +171,9 @@ class TableStore:
         if missing:
             raise TableOperationError(f"Column(s) without a value: {', '.join(missing)}")
         observed = Observation()
-        counted = self._checked(info, rows.select(*[col(name) for name in columns])).observe(
-            observed, F.count(F.lit(1)).alias("rows")
-        )
+        checked = self._checked(info, rows.select(*[col(name) for name in columns]))
+        counted = checked.observe(observed, F.count(F.lit(1)).alias("rows"))
+        counted = self._gathered(info, counted)
         view = f"tablesmith_{uuid.uuid4().hex}"
         listed = ", ".join(quoted(name) for name in columns)
         before = self._files(info)
@@ -256,7 +260,7 @@ class TableStore:
     def _publish_partitions(self, info: TableInfo, image: DataFrame, touched: list) -> None:
         location = self._new_location(info.schema_name, info.table_name)
         parts = list(info.partitions)
-        checked = self._checked(info, image)
+        checked = self._gathered(info, self._checked(info, image))
         checked.write.mode("errorifexists").partitionBy(*parts).parquet(location)
         written = (
             self.spark.read.schema(checked.schema)
@@ -268,32 +272,33 @@ class TableStore:
             .distinct()
         )
         folders = {tuple(row)[:-1]: unquote(row["__folder"]) for row in written.collect()}
-        before = self._partition_locations(info, set(touched) | set(folders))
-        for values in dict.fromkeys([*touched, *folders]):
-            self._move_partition(info, values, before.get(values), folders.get(values))
+        gone = [values for values in touched if values not in folders]
+        if self.undo is not None:
+            before = self._partition_locations(info, [*folders, *gone])
+            self.undo.append(lambda: self._move_partitions(info, before, [*folders, *gone]))
+        self._move_partitions(info, folders, gone)
+
+    def _move_partitions(self, info: TableInfo, folders: Mapping, gone: Sequence[tuple]) -> None:
+        """Point the catalog at new folders; ``gone`` partitions without a folder are dropped."""
+        alter = f"ALTER TABLE {info.name}"
+        added = [
+            f"PARTITION {self._partition_spec(info, values)} LOCATION {sql_text(folder)}"
+            for values, folder in folders.items()
+        ]
+        for batch in _batches(added):
+            self.spark.sql(f"{alter} ADD IF NOT EXISTS {' '.join(batch)}")
+        for values, folder in folders.items():
+            spec = self._partition_spec(info, values)
+            self.spark.sql(f"{alter} PARTITION {spec} SET LOCATION {sql_text(folder)}")
+        dropped = [
+            f"PARTITION {self._partition_spec(info, values)}"
+            for values in gone
+            if values not in folders
+        ]
+        for batch in _batches(dropped):
+            self.spark.sql(f"{alter} DROP IF EXISTS {', '.join(batch)}")
         self.spark.catalog.refreshTable(info.name)
 
-    def _move_partition(self, info: TableInfo, values: tuple, old: str | None, new: str | None):
-        spec = self._partition_spec(info, values)
-        if old is None and new is None:
-            return
-        if old is None:
-            forward = f"ADD PARTITION {spec} LOCATION {sql_text(new)}"
-            back = f"DROP PARTITION {spec}"
-        elif new is None:
-            forward = f"DROP PARTITION {spec}"
-            back = f"ADD PARTITION {spec} LOCATION {sql_text(old)}"
-        else:
-            forward = f"PARTITION {spec} SET LOCATION {sql_text(new)}"
-            back = f"PARTITION {spec} SET LOCATION {sql_text(old)}"
-        self.spark.sql(f"ALTER TABLE {info.name} {forward}")
-
-        def undo():
-            self.spark.sql(f"ALTER TABLE {info.name} {back}")
-            self.spark.catalog.refreshTable(info.name)
-
-        self._on_undo(undo)
-
     def _partition_spec(self, info: TableInfo, values: tuple) -> str:
         pairs = []
         for name, value in zip(info.partitions, values):
@@ -301,18 +306,15 @@ class TableStore:
             pairs.append(f"{quoted(name)} = {text}")
         return f"({', '.join(pairs)})"
 
-    def _partition_locations(self, info: TableInfo, wanted: set) -> dict:
+    def _partition_locations(self, info: TableInfo, wanted: Sequence[tuple]) -> dict:
         """Where the wanted partitions are now; partitions the catalog does not know are absent."""
-        known = {row[0] for row in self.spark.sql(f"SHOW PARTITIONS {info.name}").collect()}
         locations = {}
-        if not known:
-            return locations
         for values in wanted:
             spec = self._partition_spec(info, values)
-            shown = self.spark.sql(f"SHOW PARTITIONS {info.name} PARTITION {spec}").first()
-            if shown is not None:
-                described = f"DESCRIBE TABLE EXTENDED {info.name} PARTITION {spec} AS JSON"
-                locations[values] = json.loads(self.spark.sql(described).first()[0])["location"]
+            if self.spark.sql(f"SHOW PARTITIONS {info.name} PARTITION {spec}").first() is None:
+                continue
+            described = f"DESCRIBE TABLE EXTENDED {info.name} PARTITION {spec} AS JSON"
+            locations[values] = json.loads(self.spark.sql(described).first()[0])["location"]
         return locations
 
     def _set_location(self, name: str, new: str, old: str) -> None:
@@ -326,6 +328,12 @@ class TableStore:
     def _new_location(self, schema: str, table: str) -> str:
         return f"{self.root}/{schema}/{table}/v{uuid.uuid4().hex}"
 
+    def _gathered(self, info: TableInfo, rows: DataFrame) -> DataFrame:
+        """Rows of one partition brought together, so that not every task writes a file into every
+        partition. Spark splits a partition that is too big for one task and joins small ones."""
+        parts = [name for name in info.partitions if name in rows.columns]
+        return rows.hint("rebalance", *parts) if parts else rows
+
     def _checked(self, info: TableInfo, rows: DataFrame) -> DataFrame:
         """Values checked against NOT NULL and text lengths in the pass that writes them."""
         columns = []

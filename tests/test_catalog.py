@@ -14,9 +14,11 @@ from tablesmith.sources.catalog import (
     comment_on_schema,
     data_dictionary,
     describe_table,
+    describe_tables,
     grouped_constraints,
     list_schemas,
     list_tables,
+    list_tables_of,
     schema_names,
     table_names,
     write_schema,
@@ -122,6 +124,24 @@ def test_data_dictionary(operations, ski):
     ]
 
 
+def test_several_requests(spark, operations, ski):
+    found, errors = list_tables_of(spark, [ski, "", "no_such_schema", ski], continue_on_fail=True)
+    assert [row.item for row in found.collect()] == [0, 0, 0, 3, 3, 3]
+    assert [row.item for row in errors.collect()] == [1]
+    requests = [(ski, "SKI_RUN"), (ski, " "), (ski, "NO_SUCH_TABLE"), (ski, "COMPETITIONS")]
+    columns, keys, errors = describe_tables(operations.store, requests, continue_on_fail=True)
+    assert [row.item for row in columns.collect()] == [0] * 4 + [3] * 4
+    assert [(row.item, row.name) for row in keys.collect()] == [
+        (0, "RESORT_FK"),
+        (0, "SKI_RUN_PK"),
+        (3, "COMPETITION_FK"),
+    ]
+    assert [row.item for row in errors.collect()] == [1]
+    with pytest.raises(TableOperationError) as caught:
+        describe_tables(operations.store, requests)
+    assert caught.value.item == 1
+
+
 def test_write_schema(spark):
     assert write_schema(spark) == "default"
 

@@ -129,6 +129,19 @@ def test_insert_mapped(spark, operations, items_table, schema):
     assert rows(spark, schema)[3:] == [(7, "fixed", None), (8, "fixed", None)]
 
 
+def test_insert_with_a_mapping_per_item(spark, operations, items_table, schema):
+    def batch_of(*mappings):
+        return Items(spark.createDataFrame(list(enumerate(mappings)), "item bigint, m map<string,string>"))
+
+    good = batch_of({"ID": "7", "NAME": "a"}, {"NAME": "b"}, {"ID": "8", "NAME": None})
+    assert batch(operations.insert(schema, "ITEMS", good, "m"))[0][1] == 3
+    assert {(7, "a", None), (None, "b", None), (8, None, None)} <= set(rows(spark, schema))
+    strange = batch_of({"ID": "9"}, {"ID": "9"}, {"ID": "9", "NAME": "x"})
+    with pytest.raises(TableOperationError, match="Item 2 maps column.*NAME") as caught:
+        operations.insert(schema, "ITEMS", strange, "m")
+    assert caught.value.item == 2
+
+
 @pytest.mark.parametrize(
     "objects, mapping",
     [
