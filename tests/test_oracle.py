@@ -24,5 +24,8 @@ def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
 
 
-def test_entry(spark):
-    assert entry_points.entry(spark).count() == 10
+def test_entry(spark, duck):
+    # The newest month of the smallest tables has fewer than ten groups.
+    df = entry_points.entry(spark)
+    assert difference(df, duck, SQL["report_latest_month_top10"]) is None
+    assert df.count() > 0
