@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.predicates import Condition, predicate
 from ..functions.values import col
 from ..sources.items import ITEM, Items, bind_items
-from ..sources.scratch import fits_broadcast
+from ..sources.scratch import fits_broadcast, join_side
 from .change import Change, counted, counted_rows, with_errors
 from .matching import (
     ITEM_ARRAY,
@@ -67,7 +67,7 @@ def delete_per_item(
         keys = key_columns(match)
         per_key = bound.valid.groupBy(*keys).agg(F.min(ITEM).alias(_FIRST))
         small = fits_broadcast(per_key)
-        side = F.broadcast(per_key) if small else per_key
+        side = join_side(per_key, small)
         on = key_equality(where, match)
         if match.residual:
             on = on & predicate(df.schema, match.residual)

@@ -12,6 +12,7 @@ from ..functions.ordering import DEFAULT_LIMIT, SortRule, positive_integer, sort
 from ..functions.predicates import Condition, predicate
 from ..functions.values import col
 from ..sources.items import ITEM, Items, bind_items
+from ..sources.scratch import fits_broadcast, join_side
 from .matching import (
     ITEM_ARRAY,
     array_predicate,
@@ -114,7 +115,10 @@ def select_per_item(
             # before the join and at most n of them meet each item.
             names = [where[position].column for position in match.keys]
             rows = top_n(rows, list(dict.fromkeys(names)), ordering, n)
-        found = rows.join(bound.valid, key_equality(where, match)).select(item, *columns)
+        small = fits_broadcast(bound.valid)
+        wanted = F.broadcast(bound.valid) if small else bound.valid
+        found = join_side(rows, False) if n is not None and not small else rows
+        found = found.join(wanted, key_equality(where, match)).select(item, *columns)
     else:
         found = concatenated(
             [

@@ -13,7 +13,7 @@ from ..errors import TableOperationError, require_column_name
 from ..functions.predicates import Condition, FromItem, predicate
 from ..functions.values import assignment_literal, col, storage_type
 from ..sources.items import ITEM, Items, bind_items
-from ..sources.scratch import fits_broadcast
+from ..sources.scratch import fits_broadcast, join_side
 from .change import Change, counted, counted_rows, with_errors
 from .matching import (
     ITEM_ARRAY,
@@ -129,7 +129,7 @@ def _update_by_key(df, bound, changed, where, match):
         last.append(F.max_by(value, F.when(value.isNotNull(), F.col(ITEM))).alias(f"__v{position}"))
     per_key = bound.valid.groupBy(*keys).agg(*last, F.lit(True).alias("__matched"))
     small = fits_broadcast(per_key)
-    side = F.broadcast(per_key) if small else per_key
+    side = join_side(per_key, small)
 
     on = key_equality(where, match)
     if match.residual:
@@ -148,7 +148,7 @@ def _update_by_key(df, bound, changed, where, match):
 
     sizes = rows_per_key(df, per_key, where, match, small)
     counts = bound.valid.join(
-        F.broadcast(sizes) if small else sizes, key_equality(where, match), "left"
+        join_side(sizes, small), key_equality(where, match), "left"
     ).select(F.col(ITEM).alias("item"), counted_rows())
     return image, counts, df.join(side, on, "left_semi")
 

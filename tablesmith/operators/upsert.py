@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..errors import TableOperationError
 from ..functions.values import col
 from ..sources.items import ITEM
-from ..sources.scratch import fits_broadcast
+from ..sources.scratch import fits_broadcast, join_side
 
 # Row numbers spelled out in a message; the error's ``rows`` holds all of them.
 _ROWS_IN_MESSAGE = 1000
@@ -162,8 +162,8 @@ def upsert_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Up
 
     updated = target
     if updates:
-        side = renamed.withColumn("__matched", F.lit(True))
-        joined = target.join(F.broadcast(side) if small else side, on, "left")
+        side = join_side(renamed.withColumn("__matched", F.lit(True)), small)
+        joined = target.join(side, on, "left")
         updated = joined.select(
             *[
                 F.when(F.col("__matched"), col(f"__s_{name}")).otherwise(col(name)).alias(name)
@@ -196,6 +196,5 @@ def upsert_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Up
         "updatedRows",
         "insertedRows",
     )
-    hit_side = F.broadcast(source_keys) if small else source_keys
-    touched = target.join(hit_side, on, "left_semi") if updates else target.where("false")
+    touched = target.join(join_side(source_keys, small), on, "left_semi") if updates else target.where("false")
     return Upsert(updated, inserted, counts, touched, tuple(updates))

@@ -58,6 +58,12 @@ def fits_broadcast(df: DataFrame) -> bool:
     return row.n <= BROADCAST_ROWS and (row.bytes or 0) <= BROADCAST_BYTES
 
 
-def broadcast_if_small(df: DataFrame) -> DataFrame:
-    """A broadcast hint behind a size check; beyond the bounds Spark shuffles both sides."""
-    return F.broadcast(df) if fits_broadcast(df) else df
+def join_side(df: DataFrame, small: bool) -> DataFrame:
+    """The side of a join that has few rows per key, made ready for a join with one that may hold a
+    hot key: broadcast if proven small.
+
+    Otherwise it leaves the partitioning an aggregation may have given it. Spark then shuffles both
+    sides for the join, which is what lets it split the hot key's rows over several tasks; a side
+    that is joined where it was aggregated pins the hot key to one task.
+    """
+    return F.broadcast(df) if small else df.hint("rebalance")
