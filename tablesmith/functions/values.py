@@ -39,6 +39,12 @@ def is_integer(dtype: T.DataType) -> bool:
     return type(dtype) in _INTEGER_RANGE
 
 
+def widens(source: T.DataType, target: T.DataType) -> bool:
+    """Whether every value of one integer type is a value of the other."""
+    both = is_integer(source) and is_integer(target)
+    return both and _INTEGER_RANGE[type(source)] <= _INTEGER_RANGE[type(target)]
+
+
 def is_exact_number(dtype: T.DataType) -> bool:
     return is_integer(dtype) or isinstance(dtype, T.DecimalType)
 

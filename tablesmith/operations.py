@@ -23,7 +23,7 @@ from .operators.update import UpdateStatement, update_per_item, update_rows
 from .operators.upsert import Upsert, check_key_columns, check_source, upsert_rows
 from .sources.items import ITEM, Items
 from .sources.scratch import pinned
-from .sources.tables import TableInfo, TableStore, settled
+from .sources.tables import TableInfo, TableStore
 
 # Literal statements folded into one pass over a table; more would no longer be compiled as one
 # function.
@@ -329,7 +329,8 @@ class TableOperations:
         try:
             info = self.store.writable(schema, table, 0)
             batch = Items(pinned(items.df), items.index, items.json)
-            outcome = settled(change(self.store.read(info), batch).outcome)
+            # Kept as it is: publishing changes the table the counts were taken from.
+            outcome = pinned(change(self.store.read(info), batch).outcome)
             failed = outcome.where(F.col("error").isNotNull())
             first = failed.agg(F.min(F.struct("item", "error")).alias("first")).first().first
             if first is not None and not continue_on_fail:

@@ -15,6 +15,7 @@ from .change import Change, counted, counted_rows, with_errors
 from .matching import (
     ITEM_ARRAY,
     array_predicate,
+    envelope,
     item_slices,
     key_columns,
     key_equality,
@@ -80,16 +81,19 @@ def delete_per_item(
         if small:
             counts = F.broadcast(counts)
     else:
+        near = envelope(df, bound, where, combine)
         marked = df.withColumn(_FIRST, F.lit(None).cast("bigint"))
         for slice_ in item_slices(bound):
             matching = F.filter(
                 ITEM_ARRAY, lambda x: array_predicate(df.schema, where, combine, x)
             )
             first = F.try_element_at(matching, F.lit(1)).getField(ITEM)
+            first = first if near is None else F.when(near, first)
             marked = marked.withColumn(ITEM_ARRAY, slice_)
             marked = marked.withColumn(_FIRST, F.coalesce(_FIRST, first)).drop(ITEM_ARRAY)
         image = marked.where(F.col(_FIRST).isNull()).select(*names)
-        hit = marked.where(F.col(_FIRST).isNotNull())
+        hit = marked if near is None else marked.where(near)
+        hit = hit.where(F.col(_FIRST).isNotNull())
         counts = hit.groupBy(F.col(_FIRST).alias("item"))
         counts = counts.agg(F.count("*").alias("affectedRows"))
     valid = bound.valid.select(F.col(ITEM).alias("item"))

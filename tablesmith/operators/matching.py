@@ -10,14 +10,16 @@ Two ways, neither of which pairs every item with every row in a join:
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+import functools
+import operator
+from collections.abc import Collection, Iterator, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..errors import TableOperationError
 from ..functions.predicates import Condition, predicate
-from ..functions.values import col
+from ..functions.values import col, widens
 from ..sources.items import ITEM, Bound
 
 # Items per array value. A slice is a few hundred kilobytes, whatever the number of items.
@@ -97,6 +99,52 @@ def array_predicate(
     return F.coalesce(test, F.lit(False))
 
 
+def envelope(
+    df: DataFrame,
+    bound: Bound,
+    conditions: Sequence[Condition],
+    combine: str,
+    changing: Collection[str] = (),
+) -> Column | None:
+    """A plain filter that every row matched by some item passes; None where there is none.
+
+    A comparison with an item's value is widened to the smallest or largest value of all items, a
+    scalar that reaches the scan. Rows outside never look at the array of items. Columns in
+    ``changing`` take new values while items are applied, so conditions on them say nothing.
+    """
+    tests = []
+    for position, condition in enumerate(conditions):
+        test = None
+        if condition.column not in changing:
+            test = _widened(df, bound, position, condition)
+        if test is not None:
+            tests.append(test)
+        elif combine == "OR":
+            return None
+    if not tests:
+        return None
+    return functools.reduce(operator.or_ if combine == "OR" else operator.and_, tests)
+
+
+def _widened(df: DataFrame, bound: Bound, position: int, condition: Condition) -> Column | None:
+    if not condition.uses_item:
+        return predicate(df.schema, [condition])
+    value, column = F.col(f"__w{position}"), col(condition.column)
+    # In the column's own type, where that changes nothing: a cast would keep the filter from the
+    # scan.
+    dtype, given = df.schema[condition.column].dataType, bound.valid.schema[f"__w{position}"].dataType
+    if isinstance(dtype, T.DoubleType) or widens(given, dtype):
+        value = value.cast(dtype)
+    low, high = bound.valid.agg(F.min(value)), bound.valid.agg(F.max(value))
+    if condition.operator in ("lessThan", "lessThanOrEqual"):
+        return column <= high.scalar()
+    if condition.operator in ("greaterThan", "greaterThanOrEqual"):
+        return column >= low.scalar()
+    if condition.operator == "equals":
+        return (column >= low.scalar()) & (column <= high.scalar())
+    return None
+
+
 def item_slices(bound: Bound) -> Iterator[Column]:
     """The items as array values of bounded size, in item order, each to be added to the rows as
     column ``__items``."""

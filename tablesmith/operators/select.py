@@ -16,6 +16,7 @@ from ..sources.scratch import fits_broadcast, join_side
 from .matching import (
     ITEM_ARRAY,
     array_predicate,
+    envelope,
     item_slices,
     key_equality,
     key_match,
@@ -120,6 +121,8 @@ def select_per_item(
         found = join_side(rows, False) if n is not None and not small else rows
         found = found.join(wanted, key_equality(where, match)).select(item, *columns)
     else:
+        near = envelope(df, bound, where, combine)
+        df = df if near is None else df.where(near)
         found = concatenated(
             [
                 df.withColumn(ITEM_ARRAY, slice_).select(

@@ -18,6 +18,7 @@ from .change import Change, counted, counted_rows, with_errors
 from .matching import (
     ITEM_ARRAY,
     array_predicate,
+    envelope,
     item_slices,
     key_columns,
     key_equality,
@@ -157,6 +158,7 @@ def _update_by_array(df, bound, changed, where, combine):
     """The items as an array, folded over each row in item order: every item sees what the earlier
     ones left. Narrow: rows stay where they are."""
     names = df.columns
+    near = envelope(df, bound, where, combine, changed)
     image = df.withColumn("__hits", F.lit(None).cast("array<bigint>"))
     for slice_ in item_slices(bound):
         start = F.struct(
@@ -182,7 +184,9 @@ def _update_by_array(df, bound, changed, where, combine):
             )
 
         image = image.withColumn(ITEM_ARRAY, slice_)
-        image = image.withColumn("__state", F.aggregate(ITEM_ARRAY, start, step))
+        state = F.aggregate(ITEM_ARRAY, start, step)
+        state = state if near is None else F.when(near, state).otherwise(start)
+        image = image.withColumn("__state", state)
         image = image.select(
             *[
                 F.col("__state").getField(name).alias(name) if name in changed else col(name)

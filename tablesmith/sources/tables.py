@@ -19,7 +19,6 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 
 from ..errors import TableOperationError, require_text
 from ..functions.values import assignment_literal, col, quoted, storage_type
-from .scratch import pinned
 
 # Table properties holding what the session catalog does not accept as DDL.
 CONSTRAINTS = "tablesmith.constraints"
@@ -382,8 +381,3 @@ class TableStore:
             path = path_class(unquote(file))
             path.getFileSystem(configuration).delete(path, False)
         self.spark.catalog.refreshTable(info.name)
-
-
-def settled(outcome: DataFrame) -> DataFrame:
-    """An outcome that no later change of the table can alter."""
-    return pinned(outcome)

@@ -126,6 +126,12 @@ def test_newest_month_reaches_the_scan(spark):
     assert "GreaterThanOrEqual(l_shipdate,ScalarSubquery" in df._jdf.queryExecution().toString()
 
 
+def test_the_range_of_all_items_reaches_the_scan(spark):
+    df = entry_points.queries()["select_per_item_range"](spark, FOLDER)
+    df.collect()
+    assert "GreaterThanOrEqual(o_totalprice,ScalarSubquery" in df._jdf.queryExecution().toString()
+
+
 def test_a_limit_per_item_is_applied_before_the_shuffle(spark):
     df = entry_points.queries()["select_per_item_topn"](spark, FOLDER)
     assert "WindowGroupLimit" in df._jdf.queryExecution().toString()
