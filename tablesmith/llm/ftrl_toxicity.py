@@ -2,8 +2,8 @@
 FTRL-proximal.
 
 Each coordinate has its own learning rate and an L1 bound below which its weight is exactly zero, so
-the fitted model is a short list of weights that is broadcast. Training is done in rounds: the sample
-is dealt to a fixed number of shards, each shard runs FTRL over its rows from the shared state, and
+the fitted model is a short list of weights that is broadcast. Only features that several documents
+of the sample have get a coordinate. Training is done in rounds: the sample is dealt to a fixed number of shards, each shard runs FTRL over its rows from the shared state, and
 the shards' changes of a coordinate are added up.
 
 A document's features are the distinct hashed n-grams of its whole text; case of A to Z and ASCII
@@ -29,7 +29,8 @@ _WORDS = Words(SEPARATORS)
 
 @dataclass(frozen=True)
 class Settings:
-    bits: int = 20  # the feature space has 2**bits coordinates
+    bits: int = 24  # features are hashed to 2**bits coordinates
+    min_docs: int = 3  # in how many documents of the sample a feature must be
     alpha: float = 2.0
     beta: float = 1.0
     l1: float = 6.0
@@ -46,9 +47,15 @@ class Model:
     weight: np.ndarray
     bits: int
 
-    def dense(self) -> np.ndarray:
-        out = np.zeros(1 << self.bits, np.float32)
-        out[self.index] = self.weight
+    def found(self, index: np.ndarray, seen: np.ndarray) -> np.ndarray:
+        """Which of the coordinates have a weight. ``seen`` is ``self.seen()``."""
+        maybe = np.flatnonzero(seen[index >> (self.bits - 16)])
+        at = np.minimum(np.searchsorted(self.index, index[maybe]), max(len(self.index) - 1, 0))
+        return maybe[self.index[at] == index[maybe]] if len(self.index) else maybe[:0]
+
+    def seen(self) -> np.ndarray:
+        out = np.zeros(1 << 16, bool)
+        out[self.index >> (self.bits - 16)] = True
         return out
 
 
@@ -77,21 +84,44 @@ def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def _round(rows: DataFrame, state: tuple[np.ndarray, np.ndarray], s: Settings) -> DataFrame:
-    """Changes of ``z`` and ``n`` by coordinate, summed over shards. Coordinate 2**bits is the bias."""
-    shared = rows.sparkSession.sparkContext.broadcast(state)  # two numbers per coordinate
+def _distinct(text: np.ndarray, index: np.ndarray) -> np.ndarray:
+    """Each text's coordinates once: text in the upper half, coordinate in the lower."""
+    return np.unique(text << 32 | index)
+
+
+def _coordinates(rows: DataFrame, s: Settings) -> np.ndarray:
+    """The coordinates that get a state, sorted. Their number is bounded by the sample's."""
+
+    def every(batches):
+        for batch in batches:
+            for _, data, offsets in slices(column_of(batch, "text")):
+                index, text = features(data, offsets, s.bits)
+                found, n = np.unique(_distinct(text, index) & 0xFFFFFFFF, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n)], names=["at", "n"])
+
+    counts = rows.select("text").mapInArrow(every, "at long, n long").groupBy("at").agg(F.sum("n").alias("n"))
+    return np.sort(counts.where(F.col("n") >= s.min_docs).select("at").toArrow()["at"].to_numpy())
+
+
+def _round(rows: DataFrame, shared, s: Settings) -> DataFrame:
+    """Changes of ``z`` and ``n`` by place in the list of coordinates, summed over shards. The last
+    place is the bias."""
 
     def learn(batches):
-        z, n = (x.copy() for x in shared.value)
+        known, z0, n0 = shared.value
+        z, n = z0.astype(float), n0.astype(float)
         touched = np.zeros(len(z), bool)
         for batch in batches:
             labels = np.array(column_of(batch, "label"))
             for first, data, offsets in slices(column_of(batch, "text")):
                 index, text = features(data, offsets, s.bits)
-                pair = np.unique(text << 32 | index)
-                cuts = np.searchsorted(pair >> 32, np.arange(len(offsets)))
+                pair = _distinct(text, index)
+                index = pair & 0xFFFFFFFF
+                place = np.searchsorted(known, index)
+                hit = np.append(known, -1)[place] == index
+                place, cuts = place[hit], np.searchsorted(pair[hit] >> 32, np.arange(len(offsets)))
                 for k in range(len(offsets) - 1):
-                    at = np.append(pair[cuts[k] : cuts[k + 1]] & 0xFFFFFFFF, 1 << s.bits)
+                    at = np.append(place[cuts[k] : cuts[k + 1]], len(known))
                     w = _step(s, z, n, at)
                     w[-1] = -z[-1] / ((s.beta + np.sqrt(n[-1])) / s.alpha + s.l2)
                     g = _sigmoid(w.sum()) - labels[first + k]
@@ -99,7 +129,6 @@ def _round(rows: DataFrame, state: tuple[np.ndarray, np.ndarray], s: Settings) -
                     n[at] += g * g
                     touched[at] = True
         at = np.flatnonzero(touched)
-        z0, n0 = shared.value
         yield pa.RecordBatch.from_arrays(
             [pa.array(at), pa.array(z[at] - z0[at]), pa.array(n[at] - n0[at])], names=["at", "dz", "dn"]
         )
@@ -118,27 +147,28 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, learn_from, settings: Se
         .sortWithinPartitions(F.xxhash64("doc_id", F.lit("order")), "doc_id", "text")
         .select("text", "label")
     )
-    # The rows, some megabytes, are dealt once; each round reads a shard as one task.
-    size = (1 << s.bits) + 1
-    z, n = np.zeros(size), np.zeros(size)
+    # The sample, some megabytes, is read once more by each round, a shard by one task.
     rows = dealt.persist()
     try:
+        known = _coordinates(rows, s)
+        z, n = np.zeros(len(known) + 1, np.float32), np.zeros(len(known) + 1, np.float32)
         share = rows.agg(F.avg("label")).first()[0]
         if share is not None:  # the bias begins at the share of label 1
             share = min(max(share, 0.001), 0.999)
             z[-1] = -np.log(share / (1 - share)) * (s.beta / s.alpha + s.l2)
         for _ in range(s.rounds):
-            change = _round(rows, (z, n), s).toArrow()  # a row per coordinate at most
+            shared = rows.sparkSession.sparkContext.broadcast((known, z, n))
+            change = _round(rows, shared, s).toArrow()  # a row per coordinate at most
+            shared.destroy()
             at = change["at"].to_numpy()
             z[at] += change["dz"].to_numpy()
             n[at] += change["dn"].to_numpy()
     finally:
         rows.unpersist()
-    everything = np.arange(size - 1)
-    w = _step(s, z, n, everything)
+    w = _step(s, z, n, np.arange(len(known)))
     used = np.flatnonzero(w)
     bias = -z[-1] / ((s.beta + np.sqrt(n[-1])) / s.alpha + s.l2)
-    return Model(float(bias), used, w[used], s.bits)
+    return Model(float(bias), known[used], w[used], s.bits)
 
 
 def toxicity(docs: DataFrame, model: Model) -> DataFrame:
@@ -157,15 +187,15 @@ def _scorer(docs: DataFrame, model: Model, whole: bool, name: str = "score"):
 
     def score(batches):
         model = shared.value
-        weights = model.dense()
+        seen = model.seen()
         for batch in batches:
             out = []
             for _, data, offsets in slices(column_of(batch, "text")):
                 index, text = features(data, offsets, model.bits)
-                w = weights[index]
-                hit = np.flatnonzero(w)
-                pair = np.unique(text[hit] << 32 | index[hit])
-                total = np.bincount(pair >> 32, weights[pair & 0xFFFFFFFF], len(offsets) - 1)
+                hit = model.found(index, seen)
+                pair = _distinct(text[hit], index[hit])
+                weight = model.weight[np.searchsorted(model.index, pair & 0xFFFFFFFF)] if len(pair) else None
+                total = np.bincount(pair >> 32, weight, len(offsets) - 1)
                 out.append(_sigmoid(total + model.bias))
             scores = pa.array(np.concatenate(out) if out else np.zeros(0))
             if whole:
