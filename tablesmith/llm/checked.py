@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import ftrl_toxicity, huffman_ids
+from . import ftrl_toxicity, huffman_ids, jaccard_join, temperature_mixing, winnowing
 from .shared import remainder
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,3 +54,104 @@ def _op5(spark, folder):
         "score",
         (F.col("score") >= 0.7).cast("int").alias("predicted"),
     )
+
+
+_MIXING_SQL = """
+WITH RECURSIVE dealt AS (
+  SELECT doc_id, source,
+    CAST('0x' || md5('1:' || coalesce(CAST(doc_id AS VARCHAR), '-'))[1:8] AS BIGINT) % 1024 AS cell,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS n
+  FROM documents),
+cells AS (SELECT source, cell, sum(n) AS size FROM dealt GROUP BY ALL),
+shares AS (SELECT source, sum(size) AS total, sum(size) / (SELECT CAST(sum(size) AS DOUBLE) FROM cells) AS share
+  FROM cells GROUP BY ALL),
+even(low, high) AS (
+  SELECT 0, 1048576 UNION ALL
+  SELECT CASE WHEN ok THEN middle ELSE low END, CASE WHEN ok THEN high ELSE middle END FROM (
+    SELECT low, high, (low + high) // 2 AS middle,
+      (SELECT ln(sum(pow(share, e))) - e * sum(pow(share, e) * ln(share)) / sum(pow(share, e)) >= 0.95 * ln(count(*))
+       FROM shares, (SELECT ((low + high) // 2) / CAST(1048576 AS DOUBLE) AS e) WHERE total > 0 GROUP BY e) AS ok
+    FROM even WHERE high - low > 1)),
+kept(low, high) AS (
+  SELECT 0, 1048576 UNION ALL
+  SELECT CASE WHEN ok THEN low ELSE middle END, CASE WHEN ok THEN middle ELSE high END FROM (
+    SELECT low, high, (low + high) // 2 AS middle,
+      (SELECT pow(max(share) / min(share), 1 - e) <= 2.0
+       FROM shares, (SELECT ((low + high) // 2) / CAST(1048576 AS DOUBLE) AS e) WHERE total > 0 GROUP BY e) AS ok
+    FROM kept WHERE high - low > 1)),
+ends AS (SELECT
+    ln(sum(share)) - sum(share * ln(share)) / sum(share) >= 0.95 * ln(count(*)) AS even_1,
+    ln(count(*)) >= 0.95 * ln(count(*)) AS even_0, max(share) / min(share) <= 2.0 AS kept_0
+  FROM shares WHERE total > 0),
+power AS (SELECT greatest(
+    CASE WHEN even_1 THEN 1048576 WHEN NOT even_0 THEN 0 ELSE (SELECT max(low) FROM even) END,
+    CASE WHEN kept_0 THEN 0 ELSE (SELECT min(high) FROM kept) END) / CAST(1048576 AS DOUBLE) AS e FROM ends),
+plan AS (SELECT source, total, CASE WHEN total > 0 THEN pow((SELECT max(share) FROM shares) / share, 1 - e) ELSE 1.0 END
+    AS times FROM shares, power),
+placed AS (
+  SELECT c.source, c.cell, c.size, p.total, p.times, unnest(range(0, greatest(CAST(ceil(times) AS BIGINT), 1))) AS epoch
+  FROM cells c JOIN plan p ON c.source IS NOT DISTINCT FROM p.source),
+ordered AS (
+  SELECT *, sum(size) OVER (PARTITION BY source, epoch ORDER BY
+      CAST('0x' || md5(concat_ws(':', '1', coalesce(source, '-'), epoch, cell))[1:8] AS BIGINT), cell
+      ROWS UNBOUNDED PRECEDING) - size / 2.0 + epoch * total AS middle FROM placed)
+SELECT d.doc_id, d.source, d.n AS n_tokens, CAST(o.epoch AS INTEGER) AS epoch, o.cell AS block,
+  CASE WHEN total > 0 THEN round(middle / (times * total), 6) ELSE 0.0 END AS turn
+FROM dealt d JOIN ordered o ON d.source IS NOT DISTINCT FROM o.source AND d.cell = o.cell
+WHERE middle <= times * total OR total = 0
+"""
+
+
+@checked("op2_temperature_mixing", _MIXING_SQL)
+def _op2(spark, folder):
+    mixed = temperature_mixing.mixed_documents(table(spark, folder, "documents"))
+    return mixed.select(
+        "doc_id",
+        "source",
+        temperature_mixing.n_tokens(F.col("text")).alias("n_tokens"),
+        F.col("mix_epoch").alias("epoch"),
+        F.col("mix_cell").alias("block"),
+        F.col("mix_turn").alias("turn"),
+    )
+
+
+@checked("op7_jaccard_join")
+def _op7(spark, folder):
+    return jaccard_join.similar_components(table(spark, folder, "documents"))
+
+
+_LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WINNOWING_SQL = f"""
+WITH dw AS (
+  SELECT doc_id, coalesce(regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents),
+iw AS (
+  SELECT item_id, regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+spans AS (
+  SELECT item_id, least(10, len(w)) AS size, w[i:i + least(10, len(w)) - 1] AS span
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM iw WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT size FROM spans),
+places AS (
+  SELECT doc_id, size, i, w[i:i + size - 1] AS span
+  FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM dw, sizes)),
+hits AS (SELECT p.doc_id, p.size, p.i, s.item_id FROM places p JOIN spans s ON p.size = s.size AND p.span = s.span),
+covered AS (SELECT doc_id, count(DISTINCT place) AS n FROM (
+  SELECT doc_id, unnest(range(i, i + size)) AS place FROM hits) GROUP BY 1),
+named AS (SELECT doc_id, list_sort(list(DISTINCT CAST(item_id AS VARCHAR))) AS items FROM hits GROUP BY 1)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(len(items), 0) AS BIGINT) AS n_items,
+  sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, coalesce(n, 0) > 0 AS contaminated
+FROM dw LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
+
+
+@checked("op9_winnowing", _WINNOWING_SQL)
+def _op9(spark, folder):
+    found = winnowing.contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
