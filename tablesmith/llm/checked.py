@@ -7,7 +7,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import ftrl_toxicity, huffman_ids, jaccard_join, temperature_mixing, winnowing
+from . import (
+    compression_quality,
+    ftrl_toxicity,
+    huffman_ids,
+    hyperdimensional_language,
+    jaccard_join,
+    temperature_mixing,
+    winnowing,
+)
 from .shared import remainder
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -155,3 +163,26 @@ def _op9(spark, folder):
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@checked("op3_compression_quality")
+def _op3(spark, folder):
+    docs = table(spark, folder, "documents")
+    part = remainder(F.col("doc_id"), 5)
+    model = compression_quality.fit(docs, table(spark, folder, "labels"), "quality", part != 0)
+    return compression_quality.quality(docs, model).select(
+        "doc_id",
+        (part == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+    )
+
+
+@checked("op10_hyperdimensional_language")
+def _op10(spark, folder):
+    docs = table(spark, folder, "documents")
+    part = remainder(F.col("doc_id"), 4)
+    model = hyperdimensional_language.fit(docs, part != 2)
+    return hyperdimensional_language.identify(docs, model).select(
+        "doc_id", (part == 2).alias("held_out"), "lang_pred", "score"
+    )

@@ -70,7 +70,8 @@ def benchmark_windows(items: DataFrame, s: Settings) -> DataFrame:
     source = items.select("item_id", "text")
     hashed = _with_hashes(source).where("n > 0")
     long = _fingerprints(hashed.where(F.col("n") >= s.window), s)
-    spans = long.select("item_id", "h", F.posexplode("f").alias("at", "fingerprint")).select(
+    # Outer, or Spark would repeat the whole expression in a filter on empty arrays below.
+    spans = long.select("item_id", "h", F.posexplode_outer("f").alias("at", "fingerprint")).select(
         "fingerprint", F.slice("h", F.col("at") + 1, s.window).alias("span"), "item_id"
     )
     short = hashed.where(F.col("n") < s.window)
@@ -122,7 +123,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, settings: Settings | No
 
     source = docs.select(*carry, "text").withColumn("row", F.monotonically_increasing_id())
     found = _fingerprints(_with_hashes(source), s).select(
-        *carry, "row", F.col("n").alias("n_words"), F.explode(_runs(s, short)).alias("run")
+        *carry, "row", F.col("n").alias("n_words"), F.explode_outer(_runs(s, short)).alias("run")
     )
     found = found.select(*carry, "row", "n_words", "run.*")
     size = F.size("span")
