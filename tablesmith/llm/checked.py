@@ -10,9 +10,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from . import (
     compression_quality,
     ftrl_toxicity,
+    hamming_search,
     huffman_ids,
     hyperdimensional_language,
     jaccard_join,
+    personal_data,
     temperature_mixing,
     winnowing,
 )
@@ -186,3 +188,81 @@ def _op10(spark, folder):
     return hyperdimensional_language.identify(docs, model).select(
         "doc_id", (part == 2).alias("held_out"), "lang_pred", "score"
     )
+
+
+_SEARCH_SQL = """
+WITH bits AS (
+  SELECT vec_id AS id, unnest(range(1, 65)) AS i, embedding FROM embeddings WHERE len(embedding) > 0),
+codes AS (SELECT id, string_agg(CASE WHEN coalesce(embedding[i], 0) > 0 THEN '1' ELSE '0' END, '' ORDER BY i) AS code
+  FROM bits GROUP BY id),
+pairs AS (
+  SELECT q.id AS query_id, c.id, hamming(q.code, c.code) AS distance
+  FROM codes q JOIN codes c ON q.id <> c.id WHERE q.id % 100 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, id, CAST(distance AS INTEGER) AS distance FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, id) AS rank FROM pairs) WHERE rank <= 10
+"""
+
+
+@checked("op4_hamming_search", _SEARCH_SQL)
+def _op4(spark, folder):
+    code = hamming_search.sign_code(F.col("embedding")).alias("code")
+    codes = table(spark, folder, "embeddings").select(F.col("vec_id").alias("id"), code)
+    return hamming_search.nearest(codes, codes.where("id % 100 = 0"), 10)
+
+
+def _found_sql(kind: str, order: int, pattern: str, test: str) -> str:
+    return f"""SELECT doc_id, {order} AS ord, '{kind}' AS kind, start, start + length(m) AS stop FROM (
+      SELECT doc_id, text, ms[i] AS m, CAST(list_sum(list_transform(ps[1:i], lambda x: length(x)))
+        + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS start
+      FROM (SELECT *, unnest(range(1, len(ms) + 1)) AS i FROM (
+        SELECT doc_id, text, regexp_extract_all(text, '{pattern}') AS ms, string_split_regex(text, '{pattern}') AS ps
+        FROM documents))) WHERE {test}"""
+
+
+_DIGITS = "regexp_replace(m, '[^0-9]', '', 'g')"
+_LUHN = f"""list_sum(list_transform(range(0, length({_DIGITS})), lambda j: CASE WHEN j % 2 = 0
+  THEN CAST(reverse({_DIGITS})[j + 1] AS INTEGER) WHEN CAST(reverse({_DIGITS})[j + 1] AS INTEGER) > 4
+  THEN 2 * CAST(reverse({_DIGITS})[j + 1] AS INTEGER) - 9 ELSE 2 * CAST(reverse({_DIGITS})[j + 1] AS INTEGER) END)) % 10 = 0"""
+_IBAN = "replace(m, ' ', '')"
+_MOVED = f"({_IBAN}[5:] || {_IBAN}[1:4])"
+_MOD97 = f"""list_reduce(list_concat([CAST(0 AS BIGINT)], list_transform(range(1, length({_MOVED}) + 1), lambda j:
+  CAST(CASE WHEN {_MOVED}[j] >= 'A' THEN ascii({_MOVED}[j]) - 55 ELSE ascii({_MOVED}[j]) - 48 END AS BIGINT))),
+  lambda a, x: (a * CASE WHEN x > 9 THEN 100 ELSE 10 END + x) % 97) = 1"""
+_FOUND = " UNION ALL ".join(
+    _found_sql(*x)
+    for x in (
+        ("email", 0, r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "true"),
+        ("ip", 1, r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)",
+         "len(list_filter(string_split(m, '.'), lambda p: length(ltrim(p, '0')) > 3 OR (length(ltrim(p, '0')) = 3 AND ltrim(p, '0') > '255'))) = 0"),
+        ("card", 2, r"[0-9](?:[\x20-]?[0-9])+", f"length({_DIGITS}) BETWEEN 12 AND 19 AND {_LUHN}"),
+        ("phone", 3, r"\+[0-9][\x20().0-9-]+[0-9]", f"length({_DIGITS}) BETWEEN 9 AND 15"),
+        ("iban", 4, r"[A-Z]{2}[0-9]{2}(?:[\x20]?[A-Z0-9]{4}){2,7}(?:[\x20]?[A-Z0-9]{1,3})?",
+         f"length({_IBAN}) BETWEEN 15 AND 34 AND NOT regexp_matches(CASE WHEN start > 0 THEN text[start] ELSE '' END || text[start + length(m) + 1], '[A-Za-z0-9]') AND {_MOD97}"),
+    )
+)
+_PERSONAL_SQL = f"""
+WITH found AS ({_FOUND}),
+sums AS (SELECT doc_id, count(*) FILTER (kind = 'email') AS n_email, count(*) FILTER (kind = 'ip') AS n_ip,
+    count(*) FILTER (kind = 'card') AS n_card, count(*) FILTER (kind = 'phone') AS n_phone,
+    string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, ord) FILTER (ord < 4) AS base,
+    string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, ord) AS spans FROM found GROUP BY doc_id)
+SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card,
+  coalesce(n_phone, 0) AS n_phone, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM documents LEFT JOIN sums USING (doc_id)
+"""
+
+
+@checked("op8_personal_data", _PERSONAL_SQL)
+def _op8(spark, folder):
+    found = personal_data.personal_data(table(spark, folder, "documents").select("doc_id", "text"))
+    plain = F.filter("spans", lambda s: s["kind"] < personal_data.PLAIN)
+    counts = [
+        personal_data.count_of(F.col("spans"), i).alias(f"n_{kind.name}")
+        for i, kind in enumerate(personal_data.KINDS[: personal_data.PLAIN])
+    ]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(personal_data.as_text(plain), 256).alias("base_sha256"),
+        personal_data.as_text(F.col("spans")).alias("spans"),
+    )

@@ -79,6 +79,18 @@ def benchmark_windows(items: DataFrame, s: Settings) -> DataFrame:
     return spans.union(whole).distinct()
 
 
+def _every(h: Column, n: Column, size: int) -> Column:
+    """Each run of ``size`` words, for benchmark items that have no more."""
+    return F.transform(
+        F.sequence(F.lit(0), n - size),
+        lambda i: F.struct(
+            i.alias("at"),
+            F.xxhash64(F.lit(size), F.slice(h, i + 1, size)).alias("fingerprint"),
+            F.slice(h, i + 1, size).alias("around"),
+        ),
+    )
+
+
 def _runs(s: Settings, short: list[int]) -> Column:
     """Of each run of windows with one fingerprint: place, fingerprint and the hashes it covers."""
     f, h, n = F.col("f"), F.col("h"), F.col("n")
@@ -98,15 +110,7 @@ def _runs(s: Settings, short: list[int]) -> Column:
     )
     parts = [F.when(n >= s.window, runs).otherwise(F.array().cast(kind))]
     for size in short:
-        whole = F.transform(
-            F.sequence(F.lit(0), n - size),
-            lambda i, size=size: F.struct(
-                i.alias("at"),
-                F.xxhash64(F.lit(size), F.slice(h, i + 1, size)).alias("fingerprint"),
-                F.slice(h, i + 1, size).alias("around"),
-            ),
-        )
-        parts.append(F.when(n >= size, whole).otherwise(F.array().cast(kind)))
+        parts.append(F.when(n >= size, _every(h, n, size)).otherwise(F.array().cast(kind)))
     # One entry more in front, so that a document without windows keeps its row.
     first = F.array(F.struct(F.lit(-1).alias("at"), F.lit(None).cast("long").alias("fingerprint"), F.array().cast("array<bigint>").alias("around")))
     return F.concat(first.cast(kind), *parts)
