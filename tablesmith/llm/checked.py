@@ -11,6 +11,7 @@ from . import (
     compression_quality,
     ftrl_toxicity,
     hamming_search,
+    hmm_language_model,
     huffman_ids,
     hyperdimensional_language,
     jaccard_join,
@@ -266,3 +267,12 @@ def _op8(spark, folder):
         F.sha2(personal_data.as_text(plain), 256).alias("base_sha256"),
         personal_data.as_text(F.col("spans")).alias("spans"),
     )
+
+
+@checked("op6_hmm_language_model")
+def _op6(spark, folder):
+    part = remainder(F.col("doc_id"), 7)
+    found = hmm_language_model.scored(table(spark, folder, "documents"), part != 2)
+    return found.select(
+        "doc_id", (part == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )

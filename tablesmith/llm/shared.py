@@ -120,8 +120,13 @@ class Words:
 
     def hashed(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The words' hashes in order, and where each text's words begin (and the last's end)."""
+        hashes, bounds, _ = self.measured(data, offsets)
+        return hashes, bounds
+
+    def measured(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The same, and the words' lengths in bytes."""
         if not len(data):
-            return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
+            return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64), np.zeros(0, np.int64)
         inside = self.inside[data]
         begins = inside.copy()
         begins[1:] &= ~inside[:-1]
@@ -134,7 +139,8 @@ class Words:
         powers, inverse = _power_tables(len(data))
         total = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(self.values[data] * powers[: len(data)], out=total[1:])
-        return mixed((total[last] - total[first]) * inverse[first]), np.searchsorted(first, offsets)
+        hashes = mixed((total[last] - total[first]) * inverse[first])
+        return hashes, np.searchsorted(first, offsets), last - first
 
 
 def grams(words: np.ndarray, bounds: np.ndarray, size: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
