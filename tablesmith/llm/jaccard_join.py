@@ -7,8 +7,9 @@ the whole text is one run. Documents with equal sets form one class, and classes
   their first ``n - t*n + 1`` elements, and two of their first ``n - t*n + 2``.
 * *Light* sets, up to a boundary size, are joined by the subsets of two elements of that prefix:
   enumerated, they meet only where both elements agree. *Heavy* sets, and the light ones near the
-  boundary, are joined by inverted lists of single elements. The boundary is the size at which
-  enumerating costs as much as scanning lists, from the sizes and the list lengths of the tables.
+  boundary, are joined by inverted lists of single elements. The boundary is the size up to which
+  enumerating costs less than scanning lists: entries to move and comparisons to expect, from the
+  sizes and list lengths in the table.
 * A key's members are not paired with each other. First each is compared with one member, the one
   that has least before the key. Verified links give components, and only members of a key that are
   in different components after that are compared with each other, so no link between components is
@@ -32,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from .components import components
-from .shared import Words, binary_array, column_of, dropped, grams, mixed, slices, written
+from .shared import Words, binary_array, column_of, dropped, grams, mixed, slices, text_key, without, written
 
 _WORDS = Words()
 #: Nodes whose texts are fetched by a broadcast; with more of them Spark shuffles both sides.
@@ -68,7 +69,9 @@ def _node(found: np.ndarray) -> int:
 
 
 def shingle_sets(docs: DataFrame, s: Settings) -> DataFrame:
-    """``doc_id``, ``n_shingles`` and ``node``, which is equal for equal sets."""
+    """``text`` replaced by ``n_shingles`` and ``node``, which is equal for equal sets."""
+
+    rest = docs.drop("text").schema
 
     def describe(batches):
         for batch in batches:
@@ -78,11 +81,12 @@ def shingle_sets(docs: DataFrame, s: Settings) -> DataFrame:
                     sizes.append(len(found))
                     nodes.append(_node(found))
             yield pa.RecordBatch.from_arrays(
-                [column_of(batch, "doc_id"), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64())],
-                names=["doc_id", "n_shingles", "node"],
+                [*[column_of(batch, n) for n in rest.names], pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64())],
+                names=[*rest.names, "n_shingles", "node"],
             )
 
-    return docs.mapInArrow(describe, "doc_id long, n_shingles long, node long")
+    fields = "".join(f"{f.name} {f.dataType.simpleString()}, " for f in rest.fields)
+    return docs.mapInArrow(describe, f"{fields}n_shingles long, node long")
 
 
 def _frequent(docs: DataFrame, s: Settings) -> tuple[np.ndarray, np.ndarray]:
@@ -152,10 +156,14 @@ def _boundary(docs: DataFrame, order, s: Settings) -> int:
                     n = len(found)
                     if n < 2:
                         continue
-                    p = n - _need(n, s) + 2
+                    p = n - _need(n, s) + 1
                     _, length = order.value.ordered(found)
+                    # Each entry is moved; a list's entry is compared once if it isn't alone, a
+                    # subset's only if both elements are frequent.
+                    often = length[: p + 1] > 1
+                    pairs, both = min(p + 1, n) * min(p, n - 1) // 2, int(often.sum())
                     a, b = rows.get(n, (0, 0))
-                    rows[n] = a + p * (p - 1) // 2, b + int(length[: p - 1].sum())
+                    rows[n] = a + pairs + both * (both - 1) // 2, b + p + int(often[:p].sum())
         sizes = list(rows)
         yield pa.RecordBatch.from_arrays(
             [pa.array(sizes, pa.int64()), pa.array([rows[n][0] for n in sizes], pa.int64()),
@@ -177,8 +185,9 @@ def _boundary(docs: DataFrame, order, s: Settings) -> int:
 
 
 def _postings(docs: DataFrame, order, light: int, s: Settings) -> DataFrame:
-    """``key, node, n, at``: subset and list keys of every set. ``n - at`` is the most that it can
-    share with another one if the key is the first that they share."""
+    """``key, node, place``: subset and list keys of every set. ``place`` holds the set's size ``n``
+    and, in the lower half, ``at``; ``n - at`` is the most that it can share with another set if the
+    key is the first that they share."""
 
     def keys_of(found):
         n = len(found)
@@ -201,7 +210,7 @@ def _postings(docs: DataFrame, order, light: int, s: Settings) -> DataFrame:
     def post(batches):
         for batch in batches:
             for _, data, offsets in slices(column_of(batch, "text")):
-                keys, nodes, sizes, places, seen = [], [], [], [], set()
+                keys, nodes, places, seen = [], [], [], set()
                 for _, found in _sets(data, offsets, s.width):
                     if not len(found) or (node := _node(found)) in seen:
                         continue
@@ -209,24 +218,24 @@ def _postings(docs: DataFrame, order, light: int, s: Settings) -> DataFrame:
                     k, a = keys_of(order.value.ordered(found)[0])
                     for x, y in zip(k, a, strict=True):
                         keys.append(x)
-                        places.append(y)
                         nodes.append(np.full(len(x), node))
-                        sizes.append(np.full(len(x), len(found)))
+                        places.append(y.astype(np.int64) | len(found) << 32)
                 if keys:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(nodes)),
-                         pa.array(np.concatenate(sizes).astype(np.int32)),
-                         pa.array(np.concatenate(places).astype(np.int32))],
-                        names=["key", "node", "n", "at"],
+                         pa.array(np.concatenate(places))],
+                        names=["key", "node", "place"],
                     )
 
-    return docs.select("text").mapInArrow(post, "key long, node long, n int, at int")
+    return docs.select("text").mapInArrow(post, "key long, node long, place long")
 
 
 def _possible(s: Settings):
-    """Whether sizes and positions allow a link between rows ``n, at`` and ``m, bt``."""
-    n, m = F.col("n").cast("long"), F.col("m").cast("long")
-    most = F.least(n - F.col("at"), m - F.col("bt"))
+    """Whether sizes and positions allow a link between sets at ``place`` and at ``there``."""
+    (n, at), (m, bt) = (
+        (F.shiftright(c, 32), F.col(c).bitwiseAND(F.lit((1 << 32) - 1).cast("long"))) for c in ("place", "there")
+    )
+    most = F.least(n - at, m - bt)
     return (F.lit(100) * F.least(n, m) >= s.percent * F.greatest(n, m)) & (
         (100 + s.percent) * most >= s.percent * (n + m)
     )
@@ -271,31 +280,32 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, s: Settings
 
 
 def similar_components(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
-    """``doc_id, n_shingles, component_id``: a row per document with the smallest ``doc_id`` that
-    links reach."""
+    """``doc_id, n_shingles, component_id, text_key``: a row per document with the smallest
+    ``doc_id`` that links reach."""
     s = settings or Settings()
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
-    described, _ = written(shingle_sets(docs, s), "described")
+    doc_id = F.col("doc_id").cast("long").alias("doc_id")
+    described = shingle_sets(docs.select(doc_id, text_key(F.col("text")).alias("text_key"), "text"), s)
+    described, _ = written(described, "described")
+    docs = docs.select(doc_id, "text")
     classes, _ = written(
         described.where("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id")), "classes"
     )
     order = spark.sparkContext.broadcast(_Order(*_frequent(docs, s), s.share))
     light = _boundary(docs, order, s)
-    postings, _ = written(_postings(docs, order, light, s), "postings")
-
-    central = F.min(F.struct((F.col("at") * 1000 / F.col("n")).cast("int").alias("rank"), "node", "n", "at"))
-    lists = postings.groupBy("key").agg(
-        central.alias("centre"), F.min("node").alias("low"), F.max("node").alias("high")
-    )
-    lists, _ = written(
-        lists.where("low <> high").select(
-            "key", F.col("centre.node").alias("other"), F.col("centre.n").alias("m"), F.col("centre.at").alias("bt")
-        ),
-        "lists",
-    )
-    # Most keys occur once; what is left is read again below.
-    shared, _ = written(postings.join(lists, "key"), "shared")
+    postings, postings_path = written(_postings(docs, order, light, s), "postings")
+
+    # Most keys occur once. What is left is read again below.
+    lists = postings.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"))
+    lists, _ = written(lists.where("low <> high").select("key"), "lists")
+    several, _ = written(postings.join(lists, "key"), "several")
+    dropped(spark, postings_path)
+    # The member that has the smallest share of itself before the key, and among those one by its id.
+    share = (F.col("place").bitwiseAND(F.lit((1 << 32) - 1).cast("long")) * 1000 / F.shiftright("place", 32)).cast("long")
+    rank = F.shiftleft(share, 50).bitwiseOR(F.shiftrightunsigned("node", 14))
+    centres = several.groupBy("key").agg(F.min_by("node", rank).alias("other"), F.min_by("place", rank).alias("there"))
+    centres, _ = written(centres, "centres")
+    shared, _ = written(several.join(centres, "key"), "shared")
     pair = (F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
     first, _ = written(
         shared.where((F.col("node") != F.col("other")) & _possible(s)).select(*pair).distinct(), "pairs"
@@ -308,9 +318,9 @@ def similar_components(docs: DataFrame, settings: Settings | None = None) -> Dat
         return df.join(named, node, "left").withColumn(root, F.coalesce(root, node))
 
     placed, _ = written(rooted(rooted(shared, "node", "root"), "other", "centre"), "placed")
-    away = placed.where("root <> centre").select("key", "node", "n", "at", "root").distinct()
+    away = placed.where("root <> centre").select("key", "node", "place", "root").distinct()
     members = placed.select(
-        "key", F.col("node").alias("other"), F.col("n").alias("m"), F.col("at").alias("bt"), F.col("root").alias("far")
+        "key", F.col("node").alias("other"), F.col("place").alias("there"), F.col("root").alias("far")
     )
     rest = away.join(members, "key").where((F.col("root") != F.col("far")) & _possible(s)).select(*pair)
     second, _ = written(rest.distinct().join(first, ["a", "b"], "left_anti"), "pairs")
@@ -325,4 +335,21 @@ def similar_components(docs: DataFrame, settings: Settings | None = None) -> Dat
         "doc_id",
         "n_shingles",
         F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        "text_key",
     )
+
+
+def one_of_each(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
+    """``docs`` with the first document of each component, by ``doc_id``, and one of repeated rows.
+
+    A document without ``doc_id`` goes only if it is like one that has one.
+    """
+    found, _ = written(similar_components(docs, settings), "components")
+    gone = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = without(docs, gone.select("doc_id", "text_key"))
+    again = found.groupBy("doc_id", "text_key").agg(F.count("*").alias("n")).where("n > 1 AND doc_id IS NOT NULL")
+    again, _ = written(again.select("doc_id", "text_key"), "repeated")
+    if again.isEmpty():
+        return kept
+    repeated = without(kept, again, keep=True).dropDuplicates(["doc_id", "text"])
+    return without(kept, again).unionByName(repeated)
