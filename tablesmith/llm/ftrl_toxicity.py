@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from .labelled import labelled_sample
 from .shared import Words, column_of, grams, slices, written
@@ -178,8 +178,8 @@ def toxicity(docs: DataFrame, model: Model) -> DataFrame:
 
 def with_toxicity(docs: DataFrame, model: Model, score: str) -> DataFrame:
     """``docs`` with one more column."""
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return docs.mapInArrow(_scorer(docs, model, True, score), f"{schema}, `{score}` double")
+    schema = T.StructType([*docs.schema.fields, T.StructField(score, T.DoubleType())])
+    return docs.mapInArrow(_scorer(docs, model, True, score), schema)
 
 
 def _scorer(docs: DataFrame, model: Model, whole: bool, name: str = "score"):
@@ -206,3 +206,9 @@ def _scorer(docs: DataFrame, model: Model, whole: bool, name: str = "score"):
                 yield pa.RecordBatch.from_arrays([ids, scores], names=["doc_id", "score"])
 
     return score
+
+
+def acceptable(docs: DataFrame, model: Model, limit: float = 0.7) -> DataFrame:
+    """``docs`` but those whose score reaches ``limit``."""
+    name = "__toxicity"
+    return with_toxicity(docs, model, name).where(F.col(name) < limit).drop(name)

@@ -47,6 +47,23 @@ def remainder(doc_id: Column, divisor: int) -> Column:
     return F.crc32(text.cast("binary")) % divisor
 
 
+def text_key(text: Column) -> Column:
+    """Tells rows of one ``doc_id`` apart by their texts."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+#: Ids that are broadcast; with more of them Spark shuffles both sides of the join.
+BROADCAST_IDS = 1_000_000
+
+
+def without(docs: DataFrame, rows: DataFrame, keep: bool = False) -> DataFrame:
+    """``docs`` but those named by ``doc_id`` and ``text_key``; or only those, with ``keep``."""
+    named, _ = written(rows.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).distinct(), "named")
+    small = named.count() <= BROADCAST_IDS
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col("__id")) & (text_key(docs["text"]) == F.col("__key"))
+    return docs.join(F.broadcast(named) if small else named, same, "left_semi" if keep else "left_anti")
+
+
 def lowered(text: Column) -> Column:
     """A to Z in lower case, everything else as it is."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -20,7 +20,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .shared import lowered, written
+from .shared import lowered, text_key, without, written
 
 #: The benchmark's windows are broadcast up to this number (about 200 bytes each).
 BROADCAST_WINDOWS = 200_000
@@ -173,3 +173,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, settings: Settings | No
             F.coalesce("items", F.array().cast("array<string>")).alias("items"),
         )
     )
+
+
+def clean_documents(docs: DataFrame, benchmark: DataFrame, settings: Settings | None = None) -> DataFrame:
+    """``docs`` but those with a word inside a window of the benchmark."""
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(F.col("text")).alias("text_key"), "text")
+    found = contamination(keyed, benchmark, settings, ("doc_id", "text_key"))
+    return without(docs, found.where("n_hit > 0"))
