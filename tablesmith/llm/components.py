@@ -39,14 +39,12 @@ def components(links: DataFrame) -> DataFrame:
             edges.groupBy(F.col("b").alias("child")).agg(F.min("a").alias("parent")), "parents"
         )
         parents = _jumped(parents)
-        above = parents.select(F.col("child").alias("root"), F.col("parent"))
         if labels is None:
-            roots = parents.select(F.col("parent").alias("node")).distinct()
-            found = parents.select(F.col("child").alias("node"), F.col("parent").alias("root"))
-            labels, _ = written(found.unionByName(roots.select("node", F.col("node").alias("root"))), "labels")
-        else:
-            moved = labels.join(above, "root", "left")
-            labels, _ = written(moved.select("node", F.coalesce("parent", "root").alias("root")), "labels")
+            nodes = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct()
+            labels = nodes.withColumn("root", F.col("node"))
+        above = parents.select(F.col("child").alias("root"), F.col("parent"))
+        moved = labels.join(above, "root", "left")
+        labels, _ = written(moved.select("node", F.coalesce("parent", "root").alias("root")), "labels")
         low = parents.select(F.col("child").alias("a"), F.col("parent").alias("pa"))
         high = parents.select(F.col("child").alias("b"), F.col("parent").alias("pb"))
         ends = edges.join(low, "a", "left").join(high, "b", "left")
