@@ -241,8 +241,46 @@ def _possible(s: Settings):
     )
 
 
+def _parities(found: np.ndarray) -> bytes:
+    """A bit for each of about as many ranges of hashes as there are elements: whether the range holds
+    an odd number of them. Ranges in which two sets differ are at most their different elements."""
+    power = max(6, len(found).bit_length())
+    counts = np.bincount((found >> np.uint64(64 - power)).astype(np.int64), minlength=1 << power)
+    return np.packbits((counts & 1).astype(np.uint8)).tobytes()
+
+
+def _differing(x: np.ndarray, y: np.ndarray) -> int:
+    """Ranges with different parity; of two resolutions the finer one is brought to the coarser."""
+    x, y = np.unpackbits(x), np.unpackbits(y)
+    if len(x) > len(y):
+        x, y = y, x
+    y = y.reshape(len(x), -1).sum(1) & 1
+    return int((x != y).sum())
+
+
+def _pairwise(pairs: DataFrame, sets: DataFrame, column: str, test) -> DataFrame:
+    """The pairs whose two values of ``column`` and sizes pass ``test``."""
+
+    def compare(batches):
+        for batch in batches:
+            rows = zip(*[column_of(batch, n) for n in ("left", "right", "n", "m")], strict=True)
+            kind = np.uint64 if column == "items" else np.uint8
+            keep = [
+                test(np.frombuffer(x.as_buffer(), kind), np.frombuffer(y.as_buffer(), kind), n.as_py(), m.as_py())
+                for x, y, n, m in rows
+            ]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    lefts = sets.select(F.col("node").alias("a"), F.col(column).alias("left"), "n")
+    rights = sets.select(F.col("node").alias("b"), F.col(column).alias("right"), F.col("n").alias("m"))
+    both = pairs.join(lefts, "a").join(rights, "b").select("a", "b", "left", "right", "n", "m")
+    return written(both.mapInArrow(compare, "a long, b long").distinct(), "compared")[0]
+
+
 def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, s: Settings) -> DataFrame:
-    """The pairs (``a, b``) of nodes that are similar enough, by their whole sets."""
+    """The pairs (``a, b``) of nodes that are similar enough: by parities, a hundredth of a set's size,
+    then by the whole sets of what is left."""
+    spark = docs.sparkSession
     nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     wanted, path = written(classes.join(nodes, "node", "left_semi").select("doc_id").distinct(), "wanted")
     small = wanted.count() <= BROADCAST_IDS
@@ -253,29 +291,26 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, s: Settings
             for _, data, offsets in slices(column_of(batch, "text")):
                 found = [x for _, x in _sets(data, offsets, s.width)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([_node(x) for x in found], pa.int64()), binary_array([x.tobytes() for x in found])],
-                    names=["node", "items"],
-                )
-
-    def compare(batches):
-        for batch in batches:
-            left, right = column_of(batch, "left"), column_of(batch, "right")
-            keep = []
-            for x, y in zip(left, right, strict=True):
-                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                small, large = (x, y) if len(x) < len(y) else (y, x)
-                at = np.minimum(np.searchsorted(large, small), len(large) - 1)
-                both = int((large[at] == small).sum())
-                keep.append(100 * both >= s.percent * (len(x) + len(y) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    sets, sets_path = written(texts.select("text").mapInArrow(sets_of, "node long, items binary"), "sets")
-    lefts = sets.select(F.col("node").alias("a"), F.col("items").alias("left"))
-    rights = sets.select(F.col("node").alias("b"), F.col("items").alias("right"))
-    both = pairs.join(lefts, "a").join(rights, "b").select("a", "b", "left", "right")
-    links, _ = written(both.mapInArrow(compare, "a long, b long").distinct(), "similar")
+                    [pa.array([_node(x) for x in found], pa.int64()), pa.array([len(x) for x in found], pa.int64()),
+                     binary_array([_parities(x) for x in found]), binary_array([x.tobytes() for x in found])],
+                    names=["node", "n", "parities", "items"],
+                )
+
+    def near(x, y, n, m):
+        return (100 + s.percent) * _differing(x, y) <= (100 - s.percent) * (n + m)
+
+    def similar(x, y, n, m):
+        few, many = (x, y) if n < m else (y, x)
+        both = int((many[np.minimum(np.searchsorted(many, few), len(many) - 1)] == few).sum())
+        return 100 * both >= s.percent * (n + m - both)
+
+    made = texts.select("text").mapInArrow(sets_of, "node long, n long, parities binary, items binary")
+    sets, sets_path = written(made, "sets")
+    left = _pairwise(pairs, sets, "parities", near)
+    ends = left.select(F.col("a").alias("node")).union(left.select("b")).distinct()
+    links = _pairwise(left, sets.join(ends, "node", "left_semi"), "items", similar)
     for old in (path, sets_path):
-        dropped(docs.sparkSession, old)
+        dropped(spark, old)
     return links
 
 
@@ -296,15 +331,19 @@ def similar_components(docs: DataFrame, settings: Settings | None = None) -> Dat
     postings, postings_path = written(_postings(docs, order, light, s), "postings")
 
     # Most keys occur once. What is left is read again below.
-    lists = postings.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high"))
-    lists, _ = written(lists.where("low <> high").select("key"), "lists")
+    lists = postings.groupBy("key").agg(F.count("*").alias("n"))
+    lists, _ = written(lists.where("n > 1").select("key"), "lists")
     several, _ = written(postings.join(lists, "key"), "several")
     dropped(spark, postings_path)
     # The member that has the smallest share of itself before the key, and among those one by its id.
     share = (F.col("place").bitwiseAND(F.lit((1 << 32) - 1).cast("long")) * 1000 / F.shiftright("place", 32)).cast("long")
     rank = F.shiftleft(share, 50).bitwiseOR(F.shiftrightunsigned("node", 14))
-    centres = several.groupBy("key").agg(F.min_by("node", rank).alias("other"), F.min_by("place", rank).alias("there"))
-    centres, _ = written(centres, "centres")
+    centres = several.groupBy("key").agg(
+        F.min_by("node", rank).alias("other"), F.min_by("place", rank).alias("there"),
+        F.min("node").alias("low"), F.max("node").alias("high"),
+    )
+    # Keys of one class alone came from copies in several tasks.
+    centres, _ = written(centres.where("low <> high").drop("low", "high"), "centres")
     shared, _ = written(several.join(centres, "key"), "shared")
     pair = (F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b"))
     first, _ = written(
@@ -312,9 +351,11 @@ def similar_components(docs: DataFrame, settings: Settings | None = None) -> Dat
     )
     links = _verified(docs, classes, first, s)
     roots = components(links)
+    few = roots.count() <= BROADCAST_IDS
 
     def rooted(df, node, root):
         named = roots.select(F.col("node").alias(node), F.col("root").alias(root))
+        named = F.broadcast(named) if few else named
         return df.join(named, node, "left").withColumn(root, F.coalesce(root, node))
 
     placed, _ = written(rooted(rooted(shared, "node", "root"), "other", "centre"), "placed")
@@ -327,6 +368,7 @@ def similar_components(docs: DataFrame, settings: Settings | None = None) -> Dat
     if not second.isEmpty():
         more = _verified(docs, classes, second, s)
         roots = components(links.union(more))
+        few = roots.count() <= BROADCAST_IDS
     named = rooted(classes, "node", "root")
     least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     least, _ = written(least, "least")
