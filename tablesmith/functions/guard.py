@@ -52,7 +52,9 @@ _OPENERS = ("'", '"', "`", "/*")
 
 def _has_word(bare: Column, words) -> Column:
     """A word starts at a letter or underscore; digits before it do not belong to it."""
-    return bare.rlike(rf"(?i)(?<!\w)[0-9]*+(?:{'|'.join(words)})(?!\w)")
+    first = "".join(sorted({word[0] + word[0].lower() for word in words}))
+    # Most places are passed over by their first character alone.
+    return bare.rlike(rf"(?=[0-9{first}])(?i)(?<!\w)[0-9]*+(?:{'|'.join(words)})(?!\w)")
 
 
 def lexical_verdicts(df: DataFrame, statement: str, verdict: str = "verdict") -> DataFrame:
@@ -78,13 +80,11 @@ def require_read_only(spark: SparkSession, statement: str, item: int | None = No
     verdict = lexical_verdicts(row, "statement").first().verdict
     if verdict == UNTERMINATED:
         raise TableOperationError(
-            "The read-only guard could not judge this query: it contains an unterminated string "
-            "literal, quoted identifier, or comment.",
+            "Writes are off, and a quote or comment in this statement never ends, so what it does is unclear.",
             item,
         )
     if verdict == NOT_A_SELECT or writes_or_runs(spark, parse(spark, statement)):
         raise TableOperationError(
-            "The read-only guard is on, and this query is not recognized as a SELECT (or WITH ... "
-            "SELECT) statement.",
+            "Writes are off, and this statement is more than a read.",
             item,
         )

@@ -36,7 +36,7 @@ def sort_columns(
             raise TableOperationError("Sort column must not be empty.")
         if rule.direction not in DIRECTIONS:
             raise TableOperationError(
-                f'Invalid Sort direction: {rule.direction!r}. Expected "ASC" or "DESC".'
+                f"A sort rule goes ASC or DESC, not {rule.direction!r}"
             )
         if rule.column not in columns:
             raise TableOperationError(f'Sort column "{rule.column}" does not exist.')
@@ -62,7 +62,7 @@ def positive_integer(value, label: str = "Limit") -> int:
         and number > 0
     )
     if not whole:
-        raise TableOperationError(f"{label} must be a positive integer, got: {value!r}")
+        raise TableOperationError(f"{label} is {value!r}, which is no positive integer")
     return int(number)
 
 

@@ -69,11 +69,11 @@ def check_conditions(conditions: Sequence[Condition], combine: str, columns: Seq
         return
     if combine not in COMBINATORS:
         raise TableOperationError(
-            f'Invalid Where combinator: {combine!r}. Expected "AND" or "OR".'
+            f"Conditions are joined by AND or OR, not by {combine!r}"
         )
     for condition in conditions:
         if condition.operator not in OPERATORS:
-            raise TableOperationError(f"Invalid Where operator: {condition.operator!r}.")
+            raise TableOperationError(f"There is no condition operator {condition.operator!r}")
         require_column_name(condition.column, "Where column")
         if condition.column not in columns:
             raise TableOperationError(f'Where column "{condition.column}" does not exist.')

@@ -199,6 +199,16 @@ def _wide_decimal(dtype: T.DataType) -> T.DecimalType:
 
 def comparison_cast(value: Column, source: T.DataType, dtype: T.DataType) -> Column:
     """A column of item values, made comparable with a column of ``dtype`` (NULL if impossible)."""
+    if is_approximate_number(source):
+        sound = ~F.isnan(value) & (F.abs(value) < float("inf"))
+        finite = F.when(sound, value)
+        if is_text(dtype):
+            return finite.cast("string")
+        if is_integer(dtype):
+            # Beyond every integer, but not beyond the decimal that holds them.
+            near = F.greatest(F.least(value, F.lit(2e19)), F.lit(-2e19))
+            return F.when(sound, near).try_cast("decimal(38,18)")
+        return finite.try_cast(_wide_decimal(dtype)) if is_exact_number(dtype) else finite
     if source == dtype or (is_text(source) and is_text(dtype)):
         return value
     if is_text(dtype):
@@ -209,10 +219,19 @@ def comparison_cast(value: Column, source: T.DataType, dtype: T.DataType) -> Col
             return text.try_cast(_wide_decimal(dtype))
         if isinstance(dtype, T.DateType):
             return text.try_cast(T.TimestampNTZType())
-        return text.try_cast(dtype)
+        number = text.try_cast(dtype)
+        if is_approximate_number(dtype):
+            return F.when(~F.isnan(number) & (F.abs(number) < float("inf")), number)
+        return number
     return value
 
 
+def key_cast(value: Column, dtype: T.DataType) -> Column:
+    """A comparable number as the integer type of the column it must equal; what doesn't fit becomes
+    NULL, which equals nothing. The column itself then needs no cast, so scans can use it."""
+    return F.when(value == F.floor(value), value).try_cast(dtype)
+
+
 def assignment_cast(value: Column, source: T.DataType, dtype: T.DataType) -> Column:
     """A column of item values cast for storage (NULL where the value does not fit)."""
     target = storage_type(dtype)

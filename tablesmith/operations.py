@@ -183,7 +183,12 @@ class TableOperations:
     def merge(self, info: TableInfo, source: DataFrame, keys: Sequence[str]) -> int:
         """Publish an upsert of ``source`` (``__item`` and typed columns)."""
         check_source(source, keys)
-        counts = upsert_rows(self.store.read(info), source, keys).counts.first()
+        full = upsert_rows(self.store.read(info), source, keys)
+        if not full.columns:
+            # Nothing to update: the unknown keys, found against the whole table, are appended.
+            new = pinned(full.inserted)
+            return 0 if new.isEmpty() else self.store.append(info, new)
+        counts = full.counts.first()
         if counts.affectedRows:
 
             def change(target: DataFrame) -> Change:
@@ -227,12 +232,17 @@ class TableOperations:
         return self._statements(requests, continue_on_fail)
 
     def _statements(self, requests, continue_on_fail: bool) -> DataFrame:
-        """Requests on one table share a pass. Without ``continue_on_fail`` the requests before a
-        failing one stay applied, the ones after it are not run."""
+        """Neighbouring requests on one table share a pass. Without ``continue_on_fail`` the requests
+        before a failing one stay applied, the ones after it are not run."""
         if isinstance(requests, (UpdateRequest, DeleteRequest)):
             requests = [requests]
-        groups: dict[str, tuple[TableInfo, dict]] = {}
-        outcomes, failure = {}, None
+        outcomes, waiting, table = {}, {}, None
+
+        def flush():
+            if waiting:
+                self._run_pass(table, dict(waiting), outcomes, continue_on_fail)
+                waiting.clear()
+
         for item, request in enumerate(requests):
             try:
                 info = self.store.writable(request.schema, request.table, item)
@@ -241,18 +251,16 @@ class TableOperations:
             except Exception as error:
                 target = f"{request.schema}.{request.table} where " + _where_text(request)
                 problem = _named(error, request.verb, target, item)
-                outcomes[item] = (None, str(problem))
                 if not continue_on_fail:
-                    failure = problem
-                    break
+                    flush()
+                    raise problem from error
+                outcomes[item] = (None, str(problem))
                 continue
-            groups.setdefault(info.name, (info, {}))[1][item] = request
-        for info, members in groups.values():
-            for start in range(0, len(members), STATEMENTS_PER_PASS):
-                part = dict(list(members.items())[start : start + STATEMENTS_PER_PASS])
-                self._run_pass(info, part, outcomes, continue_on_fail)
-        if failure is not None:
-            raise failure
+            if table is not None and (info.name != table.name or len(waiting) == STATEMENTS_PER_PASS):
+                flush()
+            table = info
+            waiting[item] = request
+        flush()
         rows = [(item, *outcomes[item]) for item in sorted(outcomes)]
         return outcome_rows(self.spark, rows)
 

@@ -147,11 +147,15 @@ def _widened(df: DataFrame, bound: Bound, position: int, condition: Condition) -
 
 def item_slices(bound: Bound) -> Iterator[Column]:
     """The items as array values of bounded size, in item order, each to be added to the rows as
-    column ``__items``."""
-    last = bound.valid.agg(F.max(ITEM)).first()[0]
-    start = 0
-    while last is not None and start <= last:
-        part = bound.valid.where(F.col(ITEM).between(start, start + ITEMS_PER_SLICE - 1))
+    column ``__items``. A slice is a number of items, whatever their indexes are."""
+    rest, before = bound.valid, None
+    while True:
+        some = rest.select(ITEM).orderBy(ITEM).limit(ITEMS_PER_SLICE)
+        last = some.agg(F.max(ITEM)).first()[0]
+        if last is None:
+            return
+        part = rest.where(F.col(ITEM) <= last)
         fields = F.struct(ITEM, *[name for name in part.columns if name != ITEM])
         yield part.agg(F.sort_array(F.collect_list(fields))).scalar()
-        start += ITEMS_PER_SLICE
+        before = last
+        rest = bound.valid.where(F.col(ITEM) > before)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 import warnings
 from collections.abc import Sequence
@@ -18,10 +19,10 @@ from ..sources.scratch import pinned
 from .change import Change
 from .select import result_cap, tagged, unique_names
 
-# The execution modes, and the result cap used unless another is given.
+# The execution modes.
 MODES = ("sequentially", "transaction", "single")
-DEFAULT_CAP = 1000
 
+_REPLACE = re.compile(r"^(\s*CREATE\s+)OR\s+REPLACE\s+(TABLE\b)", re.IGNORECASE)
 _NOT_UNDOABLE = ("DropTable", "AlterTable", "AlterColumns", "RenameTable", "Truncate", "ReplaceTable")
 
 
@@ -33,18 +34,22 @@ class Query:
 
 @dataclass(frozen=True)
 class QueryResult:
-    """What one statement gave: rows, or a number of affected rows, or an error."""
+    """What one statement gave: rows, or a number of affected rows, or an error.
+
+    ``more`` says that a result cap left rows out; without a cap nothing is ever left out.
+    """
 
     item: int
     rows: DataFrame | None = None
     affected_rows: int | None = None
     error: str | None = None
+    more: bool = False
 
 
 class SqlExecutor:
     """Runs SQL text against the tables of a ``TableOperations``."""
 
-    def __init__(self, operations, *, cap: int = DEFAULT_CAP):
+    def __init__(self, operations, *, cap: int = 0):
         self.operations = operations
         self.store = operations.store
         self.spark = operations.spark
@@ -158,13 +163,19 @@ class SqlExecutor:
         in_transaction = self.store.undo is not None
         if in_transaction and kind(node).startswith(_NOT_UNDOABLE):
             raise TableOperationError("This statement cannot be part of a transaction", item)
-        if in_transaction and kind(node).startswith("Create"):
+        if kind(node).startswith("ReplaceTable"):
+            return QueryResult(item, affected_rows=self._replace(query, node))
+        if in_transaction and kind(node).startswith("CreateTable"):
             return QueryResult(item, affected_rows=self._create(query, node))
+        if in_transaction and kind(node).startswith("Create"):
+            raise TableOperationError("Only tables can be created inside a transaction", item)
         result = self.spark.sql(query.sql, args=list(query.params) or None)
         if not result.columns:
             return QueryResult(item, affected_rows=0)
-        rows = tagged(result_cap(unique_names(result), self.cap), item)
-        return QueryResult(item, rows=pinned(rows) if keep else rows)
+        named = unique_names(result)
+        more = self.cap > 0 and not named.offset(self.cap).isEmpty()
+        rows = tagged(result_cap(named, self.cap), item)
+        return QueryResult(item, rows=pinned(rows) if keep else rows, more=more)
 
     def _create(self, query: Query, node) -> int:
         """CREATE TABLE inside a transaction: done at once, dropped again on rollback."""
@@ -176,6 +187,16 @@ class SqlExecutor:
             self.store.undo.append(lambda: self.spark.sql(f"DROP TABLE IF EXISTS {name}"))
         return 0
 
+    def _replace(self, query: Query, node) -> int:
+        """CREATE OR REPLACE TABLE: the session catalog knows only dropping and creating."""
+        plain, n = _REPLACE.subn(r"\1\2", query.sql, count=1)
+        if not n:
+            raise TableOperationError("Write CREATE OR REPLACE TABLE at the start of the statement")
+        names = node.name().nameParts()
+        self.spark.sql(f"DROP TABLE IF EXISTS {table_name([names.apply(i) for i in range(names.size())])}")
+        self.spark.sql(plain, args=list(query.params) or None)
+        return 0
+
     def _write(self, query: Query, write: ParsedWrite) -> int:
         parts = write.table if len(write.table) > 1 else [self.spark.catalog.currentDatabase(), *write.table]
         info = self.store.writable(parts[-2], parts[-1])
@@ -273,7 +294,8 @@ class SqlExecutor:
         check_source(source, keys)
         new = upsert_rows(self.store.read(info), source, keys).inserted
         columns = [col(name) for name, _ in write.inserts]
-        return self.store.append(info, pinned(new.select(*columns)))
+        new = pinned(new.select(*columns))
+        return 0 if new.isEmpty() else self.store.append(info, new)
 
 
 def _failure(error: Exception, item: int) -> TableOperationError:

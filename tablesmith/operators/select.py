@@ -18,6 +18,7 @@ from .matching import (
     array_predicate,
     envelope,
     item_slices,
+    key_columns,
     key_equality,
     key_match,
     require_item_value,
@@ -111,12 +112,18 @@ def select_per_item(
         rows = df
         if match.residual:
             rows = rows.where(predicate(df.schema, match.residual))
+        small = fits_broadcast(bound.valid)
+        if small:
+            # Rows that no item asks for don't reach the shuffle of the cut below.
+            keys = F.broadcast(bound.valid.select(*key_columns(match)).distinct())
+            rows = rows.join(keys, key_equality(where, match), "left_semi") if n is not None else rows
+            near = envelope(df, bound, where, combine)
+            rows = rows if near is None else rows.where(near)
         if n is not None:
             # Rows with one key are the same rows for every item with that key, so they are cut
             # before the join and at most n of them meet each item.
             names = [where[position].column for position in match.keys]
             rows = top_n(rows, list(dict.fromkeys(names)), ordering, n)
-        small = fits_broadcast(bound.valid)
         wanted = F.broadcast(bound.valid) if small else bound.valid
         found = join_side(rows, False) if n is not None and not small else rows
         found = found.join(wanted, key_equality(where, match)).select(item, *columns)

@@ -43,8 +43,7 @@ class UpdateStatement:
 def require_where(where: Sequence[Condition], verb: str, item: int | None = None) -> None:
     if not where:
         raise TableOperationError(
-            f"Where conditions are required for {verb}. Add at least one condition: {verb} refuses "
-            "to run against every row in the table.",
+            f"This {verb} has no condition and would reach the whole table; state which rows it is for.",
             item,
         )
 

@@ -12,21 +12,16 @@ from ..functions.values import col
 from ..sources.items import ITEM
 from ..sources.scratch import fits_broadcast, join_side
 
-# Row numbers spelled out in a message; the error's ``rows`` holds all of them.
-_ROWS_IN_MESSAGE = 1000
-
-
 def check_key_columns(columns: Sequence[str], keys: Sequence[str]) -> None:
     """The key list must be non-empty, hold real names, and be part of the mapped columns."""
     if not keys:
-        raise TableOperationError("At least one key column is required for an upsert.")
+        raise TableOperationError("An upsert needs the names of the columns that identify a row.")
     if any(not isinstance(key, str) or not key.strip() for key in keys):
-        raise TableOperationError("Key column names must be non-empty strings.")
+        raise TableOperationError("A key column has no name.")
     unknown = [key for key in keys if key not in columns]
     if unknown:
         raise TableOperationError(
-            f"Key column(s) not present in the mapped columns ({', '.join(columns)}): "
-            f"{', '.join(unknown)}."
+            f"The source has no column {', '.join(unknown)} to match by; it has {', '.join(columns)}."
         )
 
 
@@ -65,7 +60,8 @@ def duplicate_rows(source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Every source row (item and key) that shares its key with another one."""
     repeated = duplicate_keys(source, keys).select(*[col(key).alias(f"__d_{key}") for key in keys])
     on = _equal([(col(key), col(f"__d_{key}")) for key in keys])
-    return source.select(ITEM, *[col(key) for key in keys]).join(repeated, on, "left_semi")
+    side = join_side(repeated, fits_broadcast(repeated))
+    return source.select(ITEM, *[col(key) for key in keys]).join(side, on, "left_semi")
 
 
 def check_source(source: DataFrame, keys: Sequence[str]) -> None:
@@ -90,9 +86,7 @@ def check_source(source: DataFrame, keys: Sequence[str]) -> None:
     if verdict.missing is not None:
         item, key = verdict.missing
         raise TableOperationError(
-            f'Row {item} has no value for key column "{keys[key]}". A NULL key never equals '
-            "anything, so the row would be inserted again on every run instead of updating the "
-            "existing one. Give every row a value for each key column, or choose other key columns.",
+            f'Item {item}: "{keys[key]}" is NULL, and an upsert can match no row by it.',
             item,
         )
     if verdict.repeated is None:
@@ -101,14 +95,10 @@ def check_source(source: DataFrame, keys: Sequence[str]) -> None:
     first_item, count = verdict.repeated.first_item, verdict.repeated.rows
     same = _equal([(col(key), F.lit(group[key])) for key in keys])
     rows = source.where(same).select(F.col(ITEM).alias("item"), *[col(key) for key in keys])
-    named = [str(row.item) for row in rows.orderBy("item").limit(_ROWS_IN_MESSAGE).collect()]
-    rest = count - len(named)
-    listing = ", ".join(named) + (f" and {rest} more" if rest else "")
     values = ", ".join(f"{key} = {group[key]!r}" for key in keys)
     raise TableOperationError(
-        f"Rows {listing} all have the same key value(s) ({values}). Rows of a batch are matched "
-        "with the table, not with each other, so every row needs its own key. Remove the "
-        "duplicates, or add a key column that tells these rows apart.",
+        f"{count} items, the first of them {first_item}, claim the row with {values}; which one "
+        "wins is not defined.",
         first_item,
         rows,
     )

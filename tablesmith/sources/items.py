@@ -19,6 +19,8 @@ from ..functions.values import (
     assignment_literal,
     col,
     comparison_cast,
+    is_integer,
+    key_cast,
     storage_type,
 )
 from .scratch import pinned
@@ -171,6 +173,8 @@ def bind_items(
         value = comparison_cast(raw, source, storage_type(dtype))
         label = f'Where column "{condition.column}"'
         problems += _value_problems(items, condition.value.name, raw, value, dtype, label)
+        if condition.operator == "equals" and is_integer(dtype) and source != dtype:
+            value = key_cast(value, dtype)
         outputs.append(value.alias(f"__w{position}"))
 
     mapping: list[tuple[str, object, Column]] = []

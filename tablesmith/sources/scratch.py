@@ -2,22 +2,28 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from ..errors import TableOperationError
+
 # A side is broadcast only when it is known to stay below both bounds.
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
 def use_shared_checkpoints(spark: SparkSession) -> None:
-    """Use the folder named by ``spark.checkpoint.dir``; only a session without one (tests, one
-    machine) gets a folder of its own."""
+    """Use the folder named by ``spark.checkpoint.dir``. Only a session whose executors are threads
+    of the driver may lack one and gets a folder of its own."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        folder = context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp()
+        folder = context.getConf().get("spark.checkpoint.dir")
+        if not folder and not re.match(r"local(\[|$)", context.master):
+            raise TableOperationError("Set spark.checkpoint.dir to a folder that all executors share")
+        folder = folder or tempfile.mkdtemp()
         context.setCheckpointDir(folder)
 
 

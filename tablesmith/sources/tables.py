@@ -24,8 +24,6 @@ from ..functions.values import assignment_literal, col, quoted, storage_type
 CONSTRAINTS = "tablesmith.constraints"
 NOT_NULL = "tablesmith.notNull"
 
-# Beyond this many touched partitions a change is published as a rewrite of the whole table.
-_PARTITION_SWAPS = 10_000
 _SIZED_TEXT = re.compile(r"(?:var)?char\((\d+)\)")
 
 
@@ -217,15 +215,14 @@ class TableStore:
             pruned = target.where(self._in_partitions(info, touched))
             self._publish_partitions(info, change(pruned).image, touched)
 
-    def _partition_values(self, info: TableInfo, change) -> list | None:
-        """The touched partitions, at most a fixed number of them; None when there are more."""
+    def _partition_values(self, info: TableInfo, change) -> list:
+        """The touched partitions, whose number the catalog already holds."""
         parts = [col(name) for name in info.partitions]
         rows = change.touched.select(*parts)
         added = getattr(change, "added", None)
         if added is not None:
             rows = rows.unionByName(added.select(*parts))
-        found = rows.distinct().limit(_PARTITION_SWAPS + 1).collect()
-        return None if len(found) > _PARTITION_SWAPS else [tuple(row) for row in found]
+        return [tuple(row) for row in rows.distinct().collect()]
 
     def _all_partitions(self, info: TableInfo) -> list:
         rows = self.read(info).select(*[col(name) for name in info.partitions]).distinct()

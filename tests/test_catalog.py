@@ -164,6 +164,9 @@ def test_factorial(spark):
     assert df.where(F.expr("factorial_of(n) != f")).isEmpty()
     with pytest.raises(Exception, match="overflow"):
         spark.range(1).select(factorial(F.lit(20))).collect()
+    for large in (20, 21, 25):
+        with pytest.raises(Exception, match="overflow"):
+            spark.sql(f"SELECT factorial_of({large})").collect()
 
 
 def test_fibonacci(spark):

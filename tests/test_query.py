@@ -138,7 +138,7 @@ def test_guard_blocks_writes_by_default(spark, sql, ski):
         insert(ski),
         f"DELETE FROM {ski}.SKI_RUN",
     ):
-        with pytest.raises(TableOperationError, match="not recognized as a SELECT"):
+        with pytest.raises(TableOperationError, match="more than a read"):
             sql.execute(statement)
     assert competitions(spark, ski) == 0 and spark.table(f"{ski}.SKI_RUN").count() == 7
 
@@ -171,9 +171,22 @@ def test_parameters_are_positional(sql, ski):
 def test_result_cap(operations):
     many = "SELECT id FROM range(3000) ORDER BY id"
     (result,) = SqlExecutor(operations).execute(many)
-    assert result.rows.count() == 1000
-    (result,) = SqlExecutor(operations, cap=0).execute(many)
-    assert result.rows.count() == 3000
+    assert result.rows.count() == 3000 and not result.more
+    (result,) = SqlExecutor(operations, cap=1000).execute(many)
+    assert result.rows.count() == 1000 and result.more
+    (result,) = SqlExecutor(operations, cap=3000).execute(many)
+    assert result.rows.count() == 3000 and not result.more
+
+
+def test_create_or_replace_table(spark, sql, schema):
+    write(sql, f"CREATE TABLE {schema}.R (X INT) USING parquet", f"INSERT INTO {schema}.R VALUES (1)")
+    write(sql, f"CREATE OR REPLACE TABLE {schema}.R (Y STRING) USING parquet")
+    assert spark.table(f"{schema}.R").columns == ["Y"] and spark.table(f"{schema}.R").isEmpty()
+
+
+def test_only_tables_are_created_in_a_transaction(sql, schema):
+    with pytest.raises(TableOperationError, match="Only tables"):
+        sql.execute([f"CREATE VIEW {schema}.V AS SELECT 1 AS x"], mode="transaction", read_only=False)
 
 
 @pytest.mark.parametrize("text", ["", "   ", None])

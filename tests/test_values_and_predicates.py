@@ -168,7 +168,7 @@ def test_limits(value, expected):
 
 @pytest.mark.parametrize("value", [0, -1, 1.5, "abc", "", None, True, "1.5", float("nan"), [1]])
 def test_bad_limits(value):
-    with pytest.raises(TableOperationError, match="positive integer"):
+    with pytest.raises(TableOperationError, match="no positive integer"):
         positive_integer(value)
 
 
