@@ -4,8 +4,10 @@ import __spark_entry__ as entry_points
 import pytest
 from compare import connect, difference
 
+from tablesmith.plans import checked
+
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, SQL = entry_points.queries(), entry_points.oracle_sql()
+QUERIES, SQL = checked.queries(), checked.oracle_sql()
 
 
 @pytest.fixture(scope="module")
