@@ -2,9 +2,10 @@
 
 A 64-bit code is cut into ``m`` segments. If two codes differ in fewer than ``m * (r + 1)`` bits, some
 segment differs in ``r`` at most. So each query looks its segments up with every change of 0, 1, 2 ...
-bits, and after radius ``r`` all codes within ``m * (r + 1) - 1`` bits are known. Found codes are
-verified by their whole distance, and a query is done once that covered distance holds its k-th
-neighbour. The number of segments follows the number of codes, one bit of width for every doubling.
+bits, some segments at a time: once ``j`` segments have been looked up with radius ``r`` and all with
+``r - 1``, all codes within ``m * r + j - 1`` bits are known. Found codes are verified by their whole
+distance, and a query is done once that covered distance holds its k-th neighbour; until then, what
+is further than the k-th so far is dropped where it is met. The number of segments follows the number of codes, one bit of width for every doubling.
 
 Equal codes are searched once: of a code's rows only the k smallest ids can be among its neighbours,
 which is all that is kept of a hot code.
@@ -49,23 +50,25 @@ def _segments(n: int) -> list[tuple[int, int]]:
     return [(a, b - a) for a, b in zip(edges[:-1], edges[1:], strict=True)]
 
 
-def _cut(df: DataFrame, segments: list[tuple[int, int]]) -> DataFrame:
-    """A row per code and segment."""
+def _cut(df: DataFrame, segments: list[tuple[int, int]], chosen) -> DataFrame:
+    """A row per code and chosen segment."""
     parts = [
         F.struct(
             F.lit(k).alias("segment"),
             F.shiftrightunsigned("code", at).bitwiseAND(F.lit((1 << width) - 1).cast("long")).alias("value"),
         )
         for k, (at, width) in enumerate(segments)
+        if k in chosen
     ]
     return df.select("*", F.explode(F.array(*parts)).alias("s")).select("*", "s.*").drop("s")
 
 
-def _changes(spark, segments: list[tuple[int, int]], radius: int) -> DataFrame:
-    """Every change of ``radius`` bits in each segment: as many rows as there are choices of bits."""
+def _changes(spark, segments: list[tuple[int, int]], chosen, radius: int) -> DataFrame:
+    """Every change of ``radius`` bits in each chosen segment: a row for each choice of bits."""
     rows = [
         (k, sum(1 << b for b in bits))
         for k, (_, width) in enumerate(segments)
+        if k in chosen
         for bits in combinations(range(width), radius)
     ]
     segment, change = zip(*rows, strict=True) if rows else ((), ())
@@ -73,6 +76,16 @@ def _changes(spark, segments: list[tuple[int, int]], radius: int) -> DataFrame:
     return spark.createDataFrame(table)
 
 
+def _steps(segments: list[tuple[int, int]]) -> list[tuple[int, list[int]]]:
+    """Radius and segments of each step: all segments at once while that is little, then quarters."""
+    everything, out = list(range(len(segments))), []
+    quarter = -(-len(segments) // 4)
+    for radius in range(max(width for _, width in segments) + 1):
+        size = len(segments) if radius < 2 else quarter
+        out += [(radius, everything[k : k + size]) for k in range(0, len(segments), size)]
+    return out
+
+
 def nearest(codes: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """``query_id, rank, id, distance``: of each query (``id, code``) the k nearest rows of ``codes``
     (``id, code``) but itself."""
@@ -86,40 +99,44 @@ def nearest(codes: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     index, _ = written(rows.groupBy("code").agg(F.count("*").alias("n")), "index")
     n = index.count()
     segments = _segments(n)
-    postings, _ = written(_cut(index, segments), "segments")
+    postings, _ = written(_cut(index, segments, range(len(segments))), "segments")
     asked = queries.where(F.col("id").isNotNull() & F.col("code").isNotNull())
     asked, _ = written(asked.select(F.col("id").alias("query_id"), "code").distinct(), "queries")
-    open_, _ = written(asked.select("code").distinct(), "open")
+    # ``reach`` is the distance of the k-th neighbour so far.
+    open_, _ = written(asked.select("code").distinct().withColumn("reach", F.lit(None).cast("int")), "open")
     found, done = None, []
-    widest = max(width for _, width in segments)
-    for radius in range(widest + 1):
-        changes = _changes(spark, segments, radius)
+    for radius, chosen in _steps(segments):
+        changes = _changes(spark, segments, chosen, radius)
         # At most comb(32, radius) rows a segment; the bound is checked before broadcasting.
-        small = sum(comb(width, radius) for _, width in segments) <= 200_000
-        probes = _cut(open_, segments).withColumnRenamed("code", "query").join(F.broadcast(changes) if small else changes, "segment")
-        probes = probes.select("query", "segment", F.col("value").bitwiseXOR(F.col("change")).alias("value"))
-        met = probes.join(postings, ["segment", "value"]).select("query", "code", "n").distinct()
+        small = sum(comb(segments[k][1], radius) for k in chosen) <= 200_000
+        probes = _cut(open_, segments, chosen).withColumnRenamed("code", "query")
+        probes = probes.join(F.broadcast(changes) if small else changes, "segment")
+        probes = probes.select("query", "reach", "segment", F.col("value").bitwiseXOR(F.col("change")).alias("value"))
+        met = probes.join(postings, ["segment", "value"])
         met = met.withColumn("distance", F.bit_count(F.col("query").bitwiseXOR(F.col("code"))))
+        met = met.where("reach IS NULL OR distance <= reach").select("query", "code", "n", "distance").distinct()
         if found is not None:
-            still = found.join(open_.withColumnRenamed("code", "query"), "query", "left_semi")
+            still = found.join(open_.select(F.col("code").alias("query")), "query", "left_semi")
             met = still.unionByName(met).distinct()
-        # What is further than a query's k-th so far is never needed again.
+        met, _ = written(met, "met")
         sums = met.groupBy("query", "distance").agg(F.sum("n").alias("n"))
         closer = Window.partitionBy("query").orderBy("distance")
         reach = (
             sums.withColumn("upto", F.sum("n").over(closer)).where(F.col("upto") >= wanted)
             .groupBy("query").agg(F.min("distance").alias("reach"))
         )
+        last = (radius, chosen) == _steps(segments)[-1]
+        covered = len(segments) * radius + chosen[-1]
+        over = F.col("reach").isNotNull() & (F.col("reach") <= covered) | F.lit(last)
         kept = met.join(reach, "query", "left").where("reach IS NULL OR distance <= reach")
-        kept, _ = written(kept, "found")
-        covered = len(segments) * (radius + 1) - 1
-        over = F.col("reach").isNotNull() & (F.col("reach") <= covered) | F.lit(radius == widest)
-        done.append(kept.where(over).drop("reach"))
-        found = kept.where(~over).drop("reach")
-        # A query that has met nothing yet is still open.
-        finished = kept.where(over).select(F.col("query").alias("code")).distinct()
-        open_, _ = written(open_.join(finished, "code", "left_anti"), "open")
-        if radius == widest or open_.isEmpty():
+        kept, _ = written(kept.withColumn("over", over), "found")
+        done.append(kept.where("over").drop("reach", "over"))
+        found = kept.where("NOT over").drop("reach", "over")
+        # A query that has met nothing yet stays open, too.
+        now = kept.groupBy(F.col("query").alias("code")).agg(F.max("over").alias("over"), F.min("reach").alias("now"))
+        open_ = open_.join(now, "code", "left").where("over IS NULL OR NOT over")
+        open_, _ = written(open_.select("code", F.coalesce("now", "reach").alias("reach")), "open")
+        if last or open_.isEmpty():
             break
     neighbours = reduce(DataFrame.unionByName, done)
     pairs = neighbours.select("query", "code", "distance").join(rows, "code")
