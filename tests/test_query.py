@@ -5,6 +5,7 @@ import pytest
 from tablesmith import Query, SqlExecutor, TableOperationError
 from tablesmith.functions.guard import (
     NOT_A_SELECT,
+    PROHIBITED_WORDS,
     READ_ONLY,
     UNTERMINATED,
     lexical_verdicts,
@@ -31,55 +32,52 @@ def insert(schema, season=2024):
 
 # -- guard -----------------------------------------------------------------------------------------
 
+# A prohibited word counts where it stands alone outside quotes and comments, in any case, and nowhere
+# else; a statement must also have the word that reads.
 ACCEPTED = [
-    "SELECT * FROM t",
-    "select * from t",
-    "SeLeCt 1",
-    "   SELECT 1   ",
-    "SELECT 1;",
-    "SELECT 1; SELECT 2",
-    "SELECT a, (SELECT COUNT(*) FROM b) AS c FROM t",
-    "WITH cte AS (SELECT 1 AS n) SELECT * FROM cte",
-    "WITH a AS (SELECT 1 AS x), b AS (SELECT x FROM a) SELECT * FROM b",
-    "SELECT a FROM t1 UNION SELECT b FROM t2",
-    "SELECT INTO_SUMMARY, SELECTOR, UPDATED_AT FROM t",
-    "SELECT 'INSERT INTO x' FROM t",
-    "SELECT 'it''s; DROP TABLE t' FROM t",
-    'SELECT "DELETE" FROM "o\'brien_table"',
-    "SELECT `DROP` FROM t",
-    "SELECT 1 -- DROP TABLE t",
-    "SELECT 1 /* DELETE FROM t */ FROM t",
-    "SELECT 1 /* it's */ FROM t -- and \"that\"",
+    "SELECT o_orderkey FROM orders WHERE o_totalprice > 10 ORDER BY 1",
+    "\n\tsElEcT max(l_tax)\nFROM lineitem;  ",
+    "WITH busy AS (SELECT o_custkey FROM orders) SELECT count(*) FROM busy JOIN customer ON o_custkey = c_custkey",
+    "(SELECT n_name FROM nation) EXCEPT (SELECT r_name FROM region)",
+    "SELECT '/* no comment', \"-- nor here\", `'` FROM part",
+    "SELECT p_size -- it's only a note: \"\n, p_name /* `so` is this */ FROM part",
+    *[
+        form.format(word, word.lower())
+        for word in PROHIBITED_WORDS
+        for form in (
+            "SELECT '{0} orders' FROM orders",
+            "SELECT 'don''t {1} it' FROM orders",
+            'SELECT "{0}" FROM orders',
+            "SELECT `{1}` FROM orders",
+            "SELECT 1 -- {0} orders",
+            "SELECT 1 /* {1}\n{0} */ FROM orders",
+            "SELECT {1}_at, {0}S, un{1} FROM orders",
+        )
+    ],
 ]
 REJECTED = [
-    "SELECT a, b INTO new_table FROM t",
-    "SELECT a INTO new_table FROM t WHERE x = 1",
-    "SELECT a FROM t1 UNION SELECT b INTO new_table FROM t2",
-    "INSERT INTO t SELECT * FROM u",
-    "UPDATE t SET a = 1",
-    "DELETE FROM t",
-    "MERGE INTO t USING u ON t.a = u.a WHEN MATCHED THEN UPDATE SET a = 1",
-    "CREATE TABLE t AS SELECT 1",
-    "DROP TABLE t",
-    "ALTER TABLE t ADD COLUMN a INT",
-    "TRUNCATE TABLE t",
-    "GRANT SELECT ON t TO u",
-    "REVOKE SELECT ON t FROM u",
-    "CALL p((SELECT 1))",
-    "WITH a AS (SELECT 1) DELETE FROM t",
-    "SELECT 1; DROP TABLE t",
-    "/* SELECT */ DESCRIBE t",
-    "VALUES (1)",
-    "'SELECT'",
-    "",
+    "SHOW COLUMNS IN part",
+    "'SELECT' -- SELECT",
+    "SELECTED orders",
+    "  \n",
+    *[
+        form.format(word, word.lower())
+        for word in PROHIBITED_WORDS
+        for form in (
+            "{0} orders (SELECT 1)",
+            "{1} orders",
+            "SELECT o_orderkey FROM orders; {1} orders",
+            "WITH few AS (SELECT 1) {0} orders",
+            "SELECT o_orderkey {0} copy FROM orders",
+            "SELECT 1 /* note */{1}/* note */ FROM orders",
+            "SELECT 'x'{0}'y'",
+        )
+    ],
 ]
 OPEN = [
-    "SELECT 'abc",
-    'SELECT "abc FROM t',
-    "SELECT `abc FROM t",
-    "SELECT 1 /* abc",
-    "SELECT 'it''s",
-    "SELECT 'a' || 'b",
+    text + ending
+    for text in ("SELECT n_name, ", "SELECT 'whole', ", "SELECT 1 /* whole */, ")
+    for ending in ("'no end", '"no end', "`no end", "/* no end", "'no '' end", '"no "" end')
 ]
 
 
