@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -15,12 +16,15 @@ SLICE_BYTES = 1 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that the cluster names in ``spark.checkpoint.dir``; only a session without one
-    (tests on one machine) gets a folder of its own."""
-    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    """The folder that the cluster names in ``spark.checkpoint.dir``. Only a session whose executors
+    are threads of the driver may lack one and gets a folder of its own."""
+    context = spark.sparkContext
+    folder = context.getConf().get("spark.checkpoint.dir")
     if not folder:
+        if not re.match(r"local(\[|$)", context.master):
+            raise ValueError("Set spark.checkpoint.dir to a folder that all executors share")
         folder = "file://" + tempfile.mkdtemp()
-        spark.sparkContext._conf.set("spark.checkpoint.dir", folder)
+        context._conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
 
 
