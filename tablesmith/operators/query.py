@@ -208,50 +208,13 @@ class SqlExecutor:
             return self._merge(info, write, query)
 
         def change(target: DataFrame) -> Change:
-            return self._marked(target, write, query)
+            return marked_change(self.spark, target, write, query.params)
 
         affected = change(self.store.read(info)).outcome.first().affectedRows
         if affected:
             self.store.publish(info, change)
         return affected
 
-    def _marked(self, target: DataFrame, write: ParsedWrite, query: Query) -> Change:
-        """An UPDATE or DELETE as a query over the table: its expressions, in their own order, next
-        to every column, so that positional parameters keep their places."""
-        names = target.columns
-        unknown = [name for name, _ in write.assignments if name not in names]
-        if unknown:
-            raise TableOperationError(f"Unknown column(s): {', '.join(unknown)}")
-        view = f"tablesmith_{uuid.uuid4().hex}"
-        own = quoted(write.alias)
-        # Line ends keep a comment at the end of a piece from swallowing what follows.
-        extra = [f"({text}\n) AS `__v{i}`" for i, (_, text) in enumerate(write.assignments)]
-        extra.append(f"coalesce(({write.condition or 'true'}\n), false) AS `__hit`")
-        target.createOrReplaceTempView(view)
-        try:
-            marked = self.spark.sql(
-                f"SELECT {own}.*, {', '.join(extra)} FROM {view} AS {own}",
-                args=list(query.params) or None,
-            )
-        finally:
-            self.spark.catalog.dropTempView(view)
-        hit = F.col("__hit")
-        new = {name: i for i, (name, _) in enumerate(write.assignments)}
-        kept = marked if write.verb == "update" else marked.where(~hit)
-        image = kept.select(
-            *[
-                F.when(hit, F.col(f"__v{new[name]}").cast(target.schema[name].dataType))
-                .otherwise(col(name))
-                .alias(name)
-                if name in new
-                else col(name)
-                for name in names
-            ]
-        )
-        outcome = marked.agg(F.count_if(hit).alias("affectedRows"))
-        touched = marked.where(hit).select(*[col(name) for name in names])
-        return Change(image, outcome, touched, tuple(new))
-
     def _merge(self, info, write: ParsedWrite, query: Query) -> int:
         """MERGE in the shape an upsert has: equal keys, the same source value for a column whether
         it is updated or inserted."""
@@ -298,6 +261,53 @@ class SqlExecutor:
         return 0 if new.isEmpty() else self.store.append(info, new)
 
 
+def marked_change(spark, target: DataFrame, write: ParsedWrite, params: Sequence = ()) -> Change:
+    """An UPDATE or DELETE as a query over the table: its expressions, in their own order, next
+    to every column, so that positional parameters keep their places."""
+    names = target.columns
+    unknown = [name for name, _ in write.assignments if name not in names]
+    if unknown:
+        raise TableOperationError(f"Unknown column(s): {', '.join(unknown)}")
+    view = f"tablesmith_{uuid.uuid4().hex}"
+    own = quoted(write.alias)
+    # Line ends keep a comment at the end of a piece from swallowing what follows.
+    extra = [f"({text}\n) AS `__v{i}`" for i, (_, text) in enumerate(write.assignments)]
+    extra.append(f"coalesce(({write.condition or 'true'}\n), false) AS `__hit`")
+    target.createOrReplaceTempView(view)
+    try:
+        marked = spark.sql(
+            f"SELECT {own}.*, {', '.join(extra)} FROM {view} AS {own}",
+            args=list(params) or None,
+        )
+    finally:
+        spark.catalog.dropTempView(view)
+    hit = F.col("__hit")
+    new = {name: i for i, (name, _) in enumerate(write.assignments)}
+    kept = marked if write.verb == "update" else marked.where(~hit)
+    image = kept.select(
+        *[
+            F.when(hit, F.col(f"__v{new[name]}").cast(target.schema[name].dataType))
+            .otherwise(col(name))
+            .alias(name)
+            if name in new
+            else col(name)
+            for name in names
+        ]
+    )
+    outcome = marked.agg(F.count_if(hit).alias("affectedRows"))
+    touched = marked.where(hit).select(*[col(name) for name in names])
+    return Change(image, outcome, touched, tuple(new))
+
+
+def statement_change(spark, target: DataFrame, statement: str, params: Sequence = ()) -> Change:
+    """What an UPDATE or DELETE given as text does to the rows of ``target``: the table afterwards, the
+    rows it hits, and how many they are."""
+    write = parsed_write(spark, statement, parse(spark, statement))
+    if write is None or write.verb not in ("update", "delete"):
+        raise TableOperationError("Only UPDATE and DELETE change the rows of one table")
+    return marked_change(spark, target, write, params)
+
+
 def _failure(error: Exception, item: int) -> TableOperationError:
     if isinstance(error, TableOperationError) and error.item is not None:
         return error

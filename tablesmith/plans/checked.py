@@ -13,6 +13,7 @@ from ..functions.predicates import Condition, FromItem
 from ..functions.text import cut_middle, factorial, fibonacci, weighted_length
 from ..operators.delete import DeleteStatement, delete_per_item, delete_rows
 from ..operators.insert import batch_rows, insert_image, mapping_rows
+from ..operators.query import statement_change
 from ..operators.select import concatenated, result_cap, select_per_item, select_rows, tagged, unique_names
 from ..operators.update import UpdateStatement, update_per_item, update_rows
 from ..operators.upsert import (
@@ -231,6 +232,20 @@ def _per_item_range(spark, folder):
     return rows
 
 
+@checked(
+    "select_per_item_sparse_index",
+    """SELECT 1000000000 * e.event_id - 5 AS item, p.p_partkey FROM events e JOIN part p
+       ON p.p_retailprice > 800 + 100 * e.value AND e.event_type = 'purchase' AND e.event_id % 50 < 5""",
+)
+def _sparse_index(spark, folder):
+    items = table(spark, folder, "events").where("event_type = 'purchase' AND event_id % 50 < 5").select(
+        (F.lit(1_000_000_000) * F.col("event_id") - 5).alias("item"), (800 + 100 * F.col("value")).alias("floor")
+    )
+    parts = table(spark, folder, "part").select("p_partkey", "p_retailprice")
+    rows, _ = select_per_item(parts, Items(items), [Condition("p_retailprice", "greaterThan", FromItem("floor"))])
+    return rows.drop("p_retailprice")
+
+
 @checked(
     "result_cap_of_sorted_rows",
     "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 1000",
@@ -868,6 +883,38 @@ def _parameters(spark, folder):
     )
 
 
+@checked(
+    "sql_update_image",
+    """SELECT c_custkey, c_name, c_nationkey,
+              CASE WHEN c_nationkey < 10 AND c_acctbal > 0 THEN c_acctbal * 2 ELSE c_acctbal END AS c_acctbal,
+              CASE WHEN c_nationkey < 10 AND c_acctbal > 0 THEN upper(c_name) ELSE c_mktsegment END AS c_mktsegment
+       FROM customer""",
+)
+def _sql_update(spark, folder):
+    statement = """UPDATE shop.customer AS c SET c_acctbal = c.c_acctbal * ?, c_mktsegment = upper(c_name)
+                   WHERE c_nationkey < ? AND c.c_acctbal > 0"""
+    return statement_change(spark, table(spark, folder, "customer"), statement, [2, 10]).image
+
+
+@checked(
+    "sql_delete_image",
+    """SELECT * FROM orders
+       WHERE NOT coalesce(o_totalprice BETWEEN 1000 AND 200000 OR o_orderstatus = 'F', false)""",
+)
+def _sql_delete(spark, folder):
+    statement = "DELETE FROM shop.orders WHERE o_totalprice BETWEEN ? AND ? OR o_orderstatus = 'F'"
+    return statement_change(spark, table(spark, folder, "orders"), statement, [1000, 200000]).image
+
+
+@checked(
+    "sql_delete_counts",
+    "SELECT count(*) AS affectedRows FROM lineitem WHERE l_discount > 0.05 AND l_returnflag <> 'N'",
+)
+def _sql_delete_counts(spark, folder):
+    statement = "DELETE FROM lineitem WHERE l_discount > ? AND l_returnflag <> 'N'"
+    return statement_change(spark, table(spark, folder, "lineitem"), statement, [0.05]).outcome.select("affectedRows")
+
+
 # -- functions -------------------------------------------------------------------------------------
 
 
