@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from .shared import binary_array, column_of, dropped, new_path, slices, written
+from .shared import binary_array, column_of, dropped, kept_by, new_path, written
 
 LANE = 128
 BLOCK_TOKENS = 1 << 20
@@ -76,13 +76,11 @@ class _WordIds(dict):
         return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
 
-_encoders: dict[str, _WordIds] = {}
-
-
 def _encoder(path: str) -> _WordIds:
-    if path not in _encoders:
-        _encoders[path] = _WordIds(path)
-    return _encoders[path]
+    encoders = kept_by("token ids")
+    if path not in encoders:
+        encoders[path] = _WordIds(path)
+    return encoders[path]
 
 
 def token_ids(docs: DataFrame, tokenizer: str, end_id: int, id_col="doc_id", text_col="text") -> DataFrame:

@@ -88,8 +88,20 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], (offsets - offsets[0]).astype(np.int64)
 
 
+_kept: dict[str, dict] = {}
+
+
+def kept_by(owner: str) -> dict:
+    """What an operator keeps between the tasks of one worker process. Workers are used again by other
+    operators, whose tasks drop it here."""
+    for other in [name for name in _kept if name != owner]:
+        del _kept[other]
+    return _kept.setdefault(owner, {})
+
+
 def slices(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Runs of whole texts of about ``SLICE_BYTES``: first text, bytes, offsets."""
+    kept_by("slices")
     data, offsets = text_bytes(column)
     n, first = len(offsets) - 1, 0
     while first < n:
