@@ -44,7 +44,8 @@ def sign_code(vector: Column) -> Column:
 
 def _segments(n: int) -> list[tuple[int, int]]:
     """Offset and width of each segment."""
-    width = min(max(round(log2(max(n, 2))), 1), 32)
+    # About four codes share a segment's value: looking at four costs less than making four changes.
+    width = min(max(round(log2(max(n, 2))) - 2, 1), 32)
     m = -(-BITS // width)
     edges = [k * BITS // m for k in range(m + 1)]
     return [(a, b - a) for a, b in zip(edges[:-1], edges[1:], strict=True)]
