@@ -23,6 +23,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from .shared import binary_array, column_of, dropped, kept_by, new_path, written
 
@@ -311,7 +312,7 @@ def read_ids(spark: SparkSession, path: str, of_document: Callable, schema: str)
         "part", (F.sum("size").over(Window.orderBy("part")) - F.col("size")).alias("before")
     )
     placed = blocks.join(F.broadcast(before), "part").withColumn("start", F.col("before") + F.col("start"))
-    names = [x.strip().split(" ")[0] for x in schema.split(",")]
+    arrow = to_arrow_schema(spark.createDataFrame([], schema).schema)
 
     def read(batches):
         code = shared.value
@@ -332,8 +333,8 @@ def read_ids(spark: SparkSession, path: str, of_document: Callable, schema: str)
                     of_document(d, start.as_py() + int(e - s), ids[e - s : e])
                     for d, s, e in zip(docs.as_py(), sizes, ends, strict=True)
                 ]
-                arrays = [pa.array(x) for x in zip(*rows, strict=True)]
-                yield pa.RecordBatch.from_arrays(arrays, names=names)
+                arrays = [pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True), arrow, strict=True)]
+                yield pa.RecordBatch.from_arrays(arrays, schema=arrow)
 
     return placed.select("start", "doc_id", "doc_tokens", "checkpoints", "payload").mapInArrow(read, schema)
 
