@@ -7,10 +7,12 @@ the tokens ``n`` and distinct words ``v`` of that symbol, so unseen words have o
 everything sums to one.
 
 Training is Baum-Welch: each task runs the scaled forward and backward recursions over its texts and
-returns expected counts by symbol, which are summed by symbol. The first rounds run on fixed shares of
-the training texts to find the states; the last one runs on all of them. Word counts cover all training
-texts and are joined to the rare words of each text, of which none has more than 1/``vocabulary`` of
-the tokens. Scoring is the forward recursion over each whole text: its exact likelihood.
+returns expected counts by symbol, which are summed by symbol. Every pass goes through all training
+texts. The first one takes them in disjoint shares, one after the other, and after each share makes the
+model anew from the counts of all shares so far (incremental EM), to find the states; the last one takes
+all of them under one model. Word counts cover all training texts and are joined to the rare words of
+each text, of which none has more than 1/``vocabulary`` of the tokens. Scoring is the forward recursion
+over each whole text: its exact likelihood.
 
 Texts run through the recursions side by side, so a step is one matrix product for all of them.
 
@@ -39,7 +41,7 @@ GATHERED, HELD = 4_000_000, 400_000
 class Settings:
     states: int = 8
     vocabulary: int = 32_768
-    shares: tuple[int, ...] = (32, 32, 32, 32, 32, 32, 16, 16, 8, 4, 1)  # one training text in so many, by round
+    shares: tuple[int, ...] = (8, 1)  # disjoint shares of all training texts, by pass
     prior: float = 20.0
     stay: float = 0.9
     seed: int = 5
@@ -233,12 +235,16 @@ def _first_model(v: Vocabulary, s: Settings) -> Model:
 
 
 def train(texts: DataFrame, v: Vocabulary, s: Settings) -> Model:
-    """``texts``: ``symbols`` and ``draw``, a hash that deals texts to shares."""
+    """``texts``: ``symbols`` and ``draw``, a hash that deals texts to shares. In a pass with as many
+    shares as the one before, a share's counts take the place of its old ones."""
     spark, model = texts.sparkSession, _first_model(v, s)
     usual = (v.totals() + 1) / (v.totals() + 1).sum()
     k = s.states
     schema = "symbol int, " + ", ".join(f"c{j} double" for j in range(k))
-    for share in s.shares:
+    kept = []  # a number per symbol and state, by share
+    for number, share in ((n, i) for n in s.shares for i in range(n)):
+        if len(kept) != number:
+            kept = [0.0] * number
         shared = spark.sparkContext.broadcast(model)  # a number per symbol and state
 
         def count(batches, shared=shared):
@@ -257,19 +263,19 @@ def train(texts: DataFrame, v: Vocabulary, s: Settings) -> Model:
                 names=["symbol", *[f"c{j}" for j in range(k)]],
             )
 
-        part = texts.where(F.pmod("draw", F.lit(share)) == 0) if share > 1 else texts
+        part = texts.where(F.pmod("draw", F.lit(number)) == share) if number > 1 else texts
         sums = part.select("symbols").mapInArrow(count, schema).groupBy("symbol")
         found = sums.agg(*[F.sum(f"c{j}").alias(f"c{j}") for j in range(k)]).toArrow()
         shared.destroy()
         symbol = found["symbol"].to_numpy()
         rows = np.stack([found[f"c{j}"].to_numpy() for j in range(k)], 1).reshape(-1, k)
-        begin, move, emit = np.ones(k), np.full((k, k), 0.1) + np.eye(k), s.prior * usual[:, None] * np.ones(k)
-        for at in np.flatnonzero(symbol < 0):
-            if symbol[at] == -1:
-                begin = begin + rows[at]
-            else:
-                move[-2 - symbol[at]] += rows[at]
-        emit[symbol[symbol >= 0]] += rows[symbol >= 0]
+        # The moves, the beginnings and the symbols' states below each other.
+        counts = np.zeros((k + 1 + len(usual), k))
+        counts[np.where(symbol < -1, -2 - symbol, symbol + k + 1)] = rows
+        kept[share] = counts
+        counts = sum(kept)
+        begin, move = 1 + counts[k], np.full((k, k), 0.1) + np.eye(k) + counts[:k]
+        emit = s.prior * usual[:, None] + counts[k + 1 :]
         model = Model(begin / begin.sum(), move / move.sum(1, keepdims=True), emit / emit.sum(0))
     return model
 
@@ -313,7 +319,7 @@ def scored(docs: DataFrame, train_on, settings: Settings | None = None) -> DataF
     known = spark.sparkContext.broadcast(v)  # `vocabulary` words
     marked = source.select(
         "doc_id", F.monotonically_increasing_id().alias("row"), train_on.alias("learnt"),
-        F.xxhash64("text").alias("draw"), "text",
+        F.xxhash64("doc_id", "text").alias("draw"), "text",
     )
     texts, _ = written(symbol_texts(marked, known), "symbols")
     model = train(texts.where("learnt"), v, s)

@@ -80,3 +80,24 @@ def test_better_than_its_base_on_held_out_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     held = m.scored(docs, F.col("doc_id") % 7 != 2).where("doc_id % 7 = 2").agg(F.sum("score"), F.sum("base_score")).first()
     assert held[0] > held[1]
+
+
+def test_every_pass_takes_all_training_texts(spark):
+    texts = [[0, 1, 2, 18], [2, 2, 18], [18], [1, 0, 1, 0, 18], [17, 2, 18], [0, 18], [1, 1, 16, 18]]
+    rows = [(draw, np.array(t, "<u2").tobytes()) for draw, t in enumerate(texts, -3)]
+    counted = np.bincount(np.concatenate(texts), minlength=19)
+    v = m.Vocabulary(np.arange(2, dtype=np.uint64), counted[:2], counted[2:18], counted[2:18] > 0, len(texts), 25, 6)
+    for shares in ((3,), (3, 1), (2, 2)):
+        s = m.Settings(states=2, shares=shares)
+        found = m.train(spark.createDataFrame(rows, "draw long, symbols binary"), v, s)
+        usual = (v.totals() + 1) / (v.totals() + 1).sum()
+        h, kept = m._first_model(v, s), {}
+        for n in shares:
+            kept = kept if len(kept) == n else {}
+            for share in range(n):
+                kept[share] = m.expected_counts(h, *joined([t for draw, t in enumerate(texts, -3) if draw % n == share]))
+                begin, move, emit = (sum(x) for x in zip(*kept.values(), strict=True))
+                begin, move, emit = 1 + begin, 0.1 + np.eye(2) + move, s.prior * usual[:, None] + emit
+                h = m.Model(begin / begin.sum(), move / move.sum(1, keepdims=True), emit / emit.sum(0))
+        assert begin.sum() == pytest.approx(2 + len(texts))
+        assert all(np.allclose(*x) for x in ((found.begin, h.begin), (found.move, h.move), (found.emit, h.emit)))
