@@ -238,7 +238,20 @@ def _per_item_range(spark, folder):
        ON p.p_retailprice > 800 + 100 * e.value AND e.event_type = 'purchase' AND e.event_id % 50 < 5""",
 )
 def _sparse_index(spark, folder):
-    items = table(spark, folder, "events").where("event_type = 'purchase' AND event_id % 50 < 5").select(
+    return _parts_above(spark, folder, "event_type = 'purchase' AND event_id % 50 < 5")
+
+
+@checked(
+    "select_per_item_sparse_index_all",
+    """SELECT 1000000000 * e.event_id - 5 AS item, p.p_partkey FROM events e JOIN part p
+       ON p.p_retailprice > 800 + 100 * e.value AND e.event_type = 'purchase'""",
+)
+def _sparse_index_all(spark, folder):
+    return _parts_above(spark, folder, "event_type = 'purchase'")
+
+
+def _parts_above(spark, folder, events: str) -> DataFrame:
+    items = table(spark, folder, "events").where(events).select(
         (F.lit(1_000_000_000) * F.col("event_id") - 5).alias("item"), (800 + 100 * F.col("value")).alias("floor")
     )
     parts = table(spark, folder, "part").select("p_partkey", "p_retailprice")

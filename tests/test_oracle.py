@@ -31,3 +31,12 @@ def test_entry(spark, duck):
     df = entry_points.entry(spark)
     assert difference(df, duck, SQL["report_latest_month_top10"]) is None
     assert df.count() > 0
+
+
+def test_every_purchase_is_an_item(spark):
+    folder = "/root/testdata/sf0.01"
+    found = QUERIES["select_per_item_sparse_index_all"](spark, folder)
+    top = checked.table(spark, folder, "part").agg({"p_retailprice": "max"}).first()[0]
+    purchases = checked.table(spark, folder, "events").where(f"event_type = 'purchase' AND {top} > 800 + 100 * value")
+    assert found.select("item").distinct().count() == purchases.count() > 0
+    assert difference(found, connect(folder), SQL["select_per_item_sparse_index_all"]) is None
