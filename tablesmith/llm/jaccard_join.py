@@ -314,10 +314,9 @@ def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, s: Settings
     return links
 
 
-def similar_components(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
-    """``doc_id, n_shingles, component_id, text_key``: a row per document with the smallest
-    ``doc_id`` that links reach."""
-    s = settings or Settings()
+def _rooted(docs: DataFrame, s: Settings) -> DataFrame:
+    """``doc_id, n_shingles, component_id, text_key, root``. Components have different roots, even if
+    their smallest ``doc_id`` is the same; without words there is none."""
     spark = docs.sparkSession
     doc_id = F.col("doc_id").cast("long").alias("doc_id")
     described = shingle_sets(docs.select(doc_id, text_key(F.col("text")).alias("text_key"), "text"), s)
@@ -372,24 +371,33 @@ def similar_components(docs: DataFrame, settings: Settings | None = None) -> Dat
     named = rooted(classes, "node", "root")
     least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     least, _ = written(least, "least")
-    named, _ = written(named.join(least, "root").select("node", "component_id"), "named")
+    named, _ = written(named.join(least, "root").select("node", "component_id", "root"), "named")
     return described.join(named, "node", "left").select(
         "doc_id",
         "n_shingles",
         F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
         "text_key",
+        "root",
     )
 
 
-def one_of_each(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
-    """``docs`` with the first document of each component, by ``doc_id``, and one of repeated rows.
+def similar_components(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
+    """``doc_id, n_shingles, component_id, text_key``: a row per document with the smallest
+    ``doc_id`` that links reach."""
+    return _rooted(docs, settings or Settings()).drop("root")
 
-    A document without ``doc_id`` goes only if it is like one that has one.
+
+def one_of_each(docs: DataFrame, settings: Settings | None = None) -> DataFrame:
+    """``docs`` with the first document of each component, by ``doc_id`` (NULL last) and then by
+    ``text_key``, and one of repeated rows. Texts without words that have no ``doc_id`` all stay.
     """
-    found, _ = written(similar_components(docs, settings), "components")
-    gone = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id")))
+    found, _ = written(_rooted(docs, settings or Settings()), "components")
+    rank = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "text_key")
+    first, _ = written(found.where("root IS NOT NULL").groupBy("root").agg(F.min(rank).alias("first")), "first")
+    gone = found.join(first, "root").where(~rank.eqNullSafe(F.col("first")))
     kept = without(docs, gone.select("doc_id", "text_key"))
-    again = found.groupBy("doc_id", "text_key").agg(F.count("*").alias("n")).where("n > 1 AND doc_id IS NOT NULL")
+    again = found.groupBy("doc_id", "text_key").agg(F.count("*").alias("n"), F.max("n_shingles").alias("size"))
+    again = again.where("n > 1 AND (doc_id IS NOT NULL OR size > 0)")
     again, _ = written(again.select("doc_id", "text_key"), "repeated")
     if again.isEmpty():
         return kept

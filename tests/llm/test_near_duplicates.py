@@ -109,3 +109,13 @@ def test_nodes_agree_for_equal_sets_only(spark):
     found = j.shingle_sets(spark.createDataFrame(rows, "doc_id long, text string"), j.Settings()).collect()
     nodes = {r.doc_id: r.node for r in found}
     assert nodes[1] == nodes[2] and len(set(nodes.values())) == 4
+
+
+def test_one_document_of_each_group_stays(spark):
+    one, near, two, three = ("the same words in each of these copies", "The Same words in each of these copies",
+                             "one group that no row has an id for", "another text under an id that was used")
+    rows = [(None, two)] * 3 + [(None, two.upper()), (1, one), (1, one), (1, near), (4, one), (None, one)]
+    rows += [(1, three), (5, three), (None, three), (None, ""), (None, ""), (7, ""), (7, "")]
+    kept = j.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    groups = sorted(((r.doc_id or 0), r.text.lower()) for r in kept)
+    assert groups == sorted([(0, two), (1, one), (1, three), (0, ""), (0, ""), (7, "")])
