@@ -229,13 +229,16 @@ def write_ids(ids: DataFrame, path: str, kind: str, part_tokens: int = PART_TOKE
     spark.createDataFrame(
         list(zip(code.ids.tolist(), code.bits.tolist(), strict=True)), "id long, bits long"
     ).coalesce(1).write.parquet(f"{path}/code")
-    parts = max(1, -(-int(n.sum()) // part_tokens))
+    # Rows without doc_id come first, in parts of their own.
+    unknown = ids.where("doc_id IS NULL").agg(F.sum("n_tokens")).first()[0] or 0
+    leading = -(-unknown // part_tokens)
+    parts = max(1, -(-(int(n.sum()) - unknown) // part_tokens))
     cuts = [k / parts for k in range(1, parts)]
     bounds = np.array(ids.approxQuantile("doc_id", cuts, 0.2 / parts) if cuts else [], float)
-    shared = spark.sparkContext.broadcast((code, bounds))  # a vocabulary and a number per part
+    shared = spark.sparkContext.broadcast((code, bounds, leading))  # a vocabulary and a number per part
 
     def encode(batches):
-        code, bounds = shared.value
+        code, bounds, leading = shared.value
         for batch in batches:
             column = column_of(batch, "ids")
             for first in range(0, len(column), 500):
@@ -249,7 +252,8 @@ def write_ids(ids: DataFrame, path: str, kind: str, part_tokens: int = PART_TOKE
                 bits = [data[e - s : e] for s, e in zip(n_bytes, ends, strict=True)]
                 share = np.array([zlib.crc32(x) for x in bits], np.int64)
                 # Rows of one id are dealt over all parts that it fills.
-                part = low + (share * (high - low + 1) >> 32)
+                part = leading + low + (share * (high - low + 1) >> 32)
+                part = np.where(np.array(doc.is_null()), share * leading >> 32, part)
                 edges = pa.array(np.concatenate([[0], np.cumsum(lanes)]), pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(part, pa.int32()), doc, pa.array(share), pa.array(sizes),
@@ -290,7 +294,7 @@ def write_ids(ids: DataFrame, path: str, kind: str, part_tokens: int = PART_TOKE
         ids.mapInArrow(
             encode, "part int, doc_id long, share long, n_tokens long, checkpoints array<long>, bits binary"
         )
-        .repartitionById(parts, "part")
+        .repartitionById(leading + parts, "part")
         .sortWithinPartitions("part", F.asc_nulls_first("doc_id"), "share", "bits")
         .mapInArrow(assemble, _BLOCKS)
         .write.option("compression", "zstd")

@@ -39,6 +39,19 @@ def test_parts_and_ties_keep_one_order(spark, awkward, part_tokens):
     assert {tuple(r) for r in read(spark, awkward, part_tokens=part_tokens)} == whole
 
 
+def test_rows_without_id_fill_parts_of_their_own(spark):
+    rows = [(None if i % 3 else i, f"{i} " + "some words " * 20) for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    path = h.encoded_documents(docs, PATH, part_tokens=2_000)
+    blocks = spark.read.parquet(f"{path}/blocks").selectExpr("part", "explode(doc_id) AS doc_id", "n_tokens").collect()
+    without, others = {r.part for r in blocks if r.doc_id is None}, {r.part for r in blocks if r.doc_id is not None}
+    assert len(without) > 5 and max(without) < min(others) and max(r.n_tokens for r in blocks) < 5_000
+    found = sorted(h.read_ids(spark, path, h.digest, h.DIGEST).collect(), key=lambda r: r.start)
+    ids = [r.doc_id for r in found]
+    assert ids == sorted((d for d, _ in rows), key=lambda d: (d is not None, d or 0))
+    assert {tuple(r) for r in read(spark, docs)} == {tuple(r) for r in found}
+
+
 def test_no_documents(spark, nothing):
     assert read(spark, nothing) == []
 
