@@ -16,7 +16,10 @@ from . import (
     hyperdimensional_language,
     jaccard_join,
     personal_data,
+    prefix_trie,
     temperature_mixing,
+    weak_supervision,
+    whitening,
     winnowing,
 )
 from .shared import remainder
@@ -276,3 +279,99 @@ def _op6(spark, folder):
     return found.select(
         "doc_id", (part == 2).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )
+
+
+def _weak_sql() -> str:
+    """Measures word by word, then expectation-maximisation over counted votes as a recursion."""
+    start = weak_supervision.Settings()
+    n = len(start.rules)
+    votes = [f"CASE WHEN {r.good} THEN 1 WHEN {r.bad} THEN -1 ELSE 0 END" for r in start.rules]
+    columns = ", ".join(f"{v} AS v{j}" for j, v in enumerate(votes))
+    # The state lists, per rule: rates of good votes on good and on bad documents, then of bad votes.
+    begin = [x for j in range(n) for x in (*start.good_vote, *start.bad_vote)]
+    weights = " + ".join(
+        f"CASE v{j} WHEN 1 THEN ln(p[{4 * j + 1}] / p[{4 * j + 2}]) WHEN -1 THEN ln(p[{4 * j + 3}] / p[{4 * j + 4}]) ELSE 0 END"
+        for j in range(n)
+    )
+    posterior = f"1 / (1 + exp(-(ln({start.share} / (1 - {start.share})) + {weights})))"
+    rates = ", ".join(
+        f"(sum(CASE WHEN v{j} = {x} THEN {w} ELSE 0 END) + {start.belief * begin[4 * j + 2 * (x < 0) + k]}) / (sum({w}) + {start.belief})"
+        for j in range(n)
+        for x in (1, -1)
+        for k, w in enumerate(("n * g", "n * (1 - g)"))
+    )
+    space = r"\x20\x09-\x0D"
+    size = weak_supervision.WINDOW
+    return rf"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^{space}]+') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^{space}]')) AS lines FROM documents),
+places AS (SELECT doc_id, i, w[i:i + {size - 1}] AS g FROM (
+  SELECT doc_id, w, unnest(range(1, len(w) - {size - 2})) AS i FROM split)),
+twice AS (SELECT doc_id, i FROM places QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
+repeats AS (SELECT doc_id, count(DISTINCT place) AS n FROM (
+  SELECT doc_id, unnest(range(i, i + {size})) AS place FROM twice) GROUP BY 1),
+measures AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+    CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, len(lines) AS n_lines,
+    CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words,
+    len(regexp_extract_all(text, '\p{{L}}')) AS n_letters, len(regexp_extract_all(text, '\p{{Lu}}')) AS n_capitals,
+    len(list_filter(lines, lambda l: regexp_matches(l, '[.!?…][{space}]*$'))) AS n_ended_lines,
+    len(list_distinct(w)) AS n_vocabulary
+  FROM split LEFT JOIN repeats USING (doc_id)),
+cast_votes AS (SELECT *, {columns} FROM measures),
+patterns AS (SELECT {", ".join(f"v{j}" for j in range(n))}, CAST(count(*) AS DOUBLE) AS n FROM cast_votes GROUP BY ALL),
+em(round, p) AS (
+  SELECT 0, CAST({begin} AS DOUBLE[]) UNION ALL
+  SELECT round + 1, [{rates}] FROM (
+    SELECT round, patterns.*, {posterior} AS g FROM em, patterns WHERE round < {start.rounds}) GROUP BY round),
+verdicts AS (
+  SELECT cast_votes.*, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, {posterior} AS quality
+  FROM cast_votes, (SELECT p FROM em WHERE round = {start.rounds}))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND quality >= {start.kept} AS kept FROM verdicts
+"""
+
+
+@checked("op11_weak_supervision", _weak_sql())
+def _op11(spark, folder):
+    found = weak_supervision.quality(table(spark, folder, "documents"))
+    columns = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    return found.select("doc_id", *columns, F.col("good").alias("kept"))
+
+
+_TRIE_SQL = """
+WITH turns AS (
+  SELECT conv_id AS c, {'role': coalesce(role, ''), 'text': coalesce(text, '')} AS x,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS r
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT c, list(x ORDER BY r) AS xs, CAST(xor(list_reduce(list_concat([4294967295], flatten(list_transform(
+      string_split(CAST(c AS VARCHAR), ''), lambda ch: [CAST(ascii(ch) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+      lambda a, b: CASE WHEN b >= 0 THEN xor(a, b) ELSE xor(a >> 1, 3988292384 * (a & 1)) END), 4294967295) % 6 AS BIGINT) AS h
+  FROM turns GROUP BY c),
+rebuilt AS (SELECT o.c, list_concat(coalesce(b.xs, [])[1:o.h], o.xs[o.h + 1:]) AS xs
+  FROM own o LEFT JOIN own b ON b.c = o.c - o.c % 100),
+members AS (SELECT c, d, xs[1:d] AS p, d = len(xs) AS ends FROM (SELECT c, xs, unnest(range(0, len(xs) + 1)) AS d FROM rebuilt)),
+nodes AS (SELECT d, p, min(c) AS c, count(*) AS n,
+    sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (ends), '')) AS digest FROM members GROUP BY d, p),
+valued AS (SELECT n.*, coalesce(k.n, 0) AS kids,
+    CASE WHEN n.d = 0 THEN 0 ELSE (n.n - 1) * length(n.p[n.d].text) END AS saved
+  FROM nodes n LEFT JOIN (SELECT d - 1 AS d, p[1:d - 1] AS p, count(*) AS n FROM nodes WHERE d > 0 GROUP BY ALL) k
+  ON n.d = k.d AND n.p = k.p),
+totals AS (SELECT d, p[1:d] AS p, sum(saved) AS saved, count(*) FILTER (kids = 0) AS leaves
+  FROM (SELECT p, saved, kids, unnest(range(0, d + 1)) AS d FROM valued) GROUP BY ALL)
+SELECT v.c AS conv_id, v.d AS depth, u.c AS parent_conv_id, v.n AS n_convs, CAST(v.kids AS BIGINT) AS n_children,
+  CAST(t.leaves AS BIGINT) AS n_leaves, CAST(t.saved AS BIGINT) AS saved_tokens, v.digest AS ends_sha256
+FROM valued v JOIN totals t ON v.d = t.d AND v.p = t.p LEFT JOIN nodes u ON u.d = v.d - 1 AND u.p = v.p[1:v.d - 1]
+"""
+
+
+@checked("op12_prefix_trie", _TRIE_SQL)
+def _op12(spark, folder):
+    return prefix_trie.prefix_trie(table(spark, folder, "conversations"))
+
+
+@checked("op13_embedding_whitening")
+def _op13(spark, folder):
+    vectors = whitening.whole_vectors(table(spark, folder, "embeddings"))
+    return whitening.whitened(vectors, whitening.fit(vectors))
