@@ -24,7 +24,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .shared import written
+from .shared import text_key, without, written
 
 SPACE = r"\x20\x09-\x0D"
 WINDOW = 5
@@ -103,13 +103,9 @@ def _count(text: Column, pattern: str) -> Column:
     return F.length(F.regexp_replace(text, pattern, "")).cast("long")
 
 
-def measured(docs: DataFrame, *keep: str) -> DataFrame:
-    """The measures of each document, next to the columns named in ``keep``."""
-    return _with_measures(docs.select(F.struct(*keep).alias("kept"), "text")).select("kept.*", *MEASURES)
-
-
-def _with_measures(df: DataFrame) -> DataFrame:
-    """Adds the measures of ``text`` to a table with the columns ``kept`` and ``text`` alone."""
+def measured(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``text_key`` and the measures of each document."""
+    df = docs.select(F.struct("doc_id", text_key(F.col("text")).alias("text_key")).alias("kept"), "text")
     text = F.coalesce("text", F.lit(""))
     words = F.array_remove(F.split(text, f"[{SPACE}]+"), "")
     lines = F.filter(F.split(text, "\n"), lambda line: line.rlike(f"[^{SPACE}]"))
@@ -144,37 +140,40 @@ def _with_measures(df: DataFrame) -> DataFrame:
     # Windows overlap: each adds the words up to the next one.
     added = F.transform("at", lambda i, j: F.least(F.lit(WINDOW), F.coalesce(F.get("at", j + 1) - i, F.lit(WINDOW))))
     repeated = F.aggregate(added, F.lit(0).cast("long"), lambda total, x: total + x)
-    return df.withColumn("n_repeat_words", F.coalesce(repeated, F.lit(0).cast("long"))).drop("at")
+    df = df.withColumn("n_repeat_words", F.coalesce(repeated, F.lit(0).cast("long")))
+    return df.select("kept.*", *MEASURES)
 
 
-def vote(rule: Rule) -> Column:
+def vote(rule: Rule) -> str:
     """1 for good, -1 for bad, 0 for none."""
-    return F.when(F.expr(rule.good), 1).when(F.expr(rule.bad), -1).otherwise(0)
+    return f"CASE WHEN {rule.good} THEN 1 WHEN {rule.bad} THEN -1 ELSE 0 END"
 
 
-def _posterior(votes: list[Column], model: Model) -> Column:
+def _posterior(votes: list[str], model: Model) -> str:
     """Probability of being good, given the votes cast."""
     share = model.settings.share
-    logit = F.lit(math.log(share / (1 - share)))
-    for v, good, bad in zip(votes, model.good_votes, model.bad_votes, strict=True):
-        logit = logit + F.when(v == 1, math.log(good[0] / good[1])).when(v == -1, math.log(bad[0] / bad[1])).otherwise(0.0)
-    return 1 / (1 + F.exp(-logit))
+    terms = [math.log(share / (1 - share))]
+    cast = zip(votes, model.good_votes, model.bad_votes, strict=True)
+    terms += [
+        f"CASE {v} WHEN 1 THEN {math.log(good[0] / good[1])!r}D WHEN -1 THEN {math.log(bad[0] / bad[1])!r}D ELSE 0D END"
+        for v, good, bad in cast
+    ]
+    return f"1 / (1 + exp(-({terms[0]!r}D + {' + '.join(terms[1:])})))"
 
 
 def fit(measures: DataFrame, settings: Settings = Settings()) -> Model:
     """Learn from the measures of all documents, without labels."""
     rules, belief = settings.rules, settings.belief
     names = [f"v{j}" for j in range(len(rules))]
-    patterns = measures.select(*[vote(rule).alias(name) for rule, name in zip(rules, names, strict=True)])
+    patterns = measures.selectExpr(*[f"{vote(rule)} AS {name}" for rule, name in zip(rules, names, strict=True)])
     patterns, _ = written(patterns.groupBy(*names).agg(F.count("*").cast("double").alias("n")), "votes")
-    votes = [F.col(name) for name in names]
+    # How many good and bad documents there are, and what they cast: all good votes, then all bad ones.
+    cast = [f"sum(CASE WHEN {v} = {x} THEN {of} ELSE 0D END)" for x in (1, -1) for v in names for of in ("good", "bad")]
     model = Model(settings, (settings.good_vote,) * len(rules), (settings.bad_vote,) * len(rules))
     for _ in range(settings.rounds):
-        expected = patterns.withColumn("good", F.col("n") * _posterior(votes, model))
-        expected = expected.withColumn("bad", F.col("n") - F.col("good"))
-        cast = [F.sum(F.when(v == x, F.col(of)).otherwise(0.0)) for x in (1, -1) for v in votes for of in ("good", "bad")]
-        sums = [F.sum("good"), F.sum("bad"), *cast]
-        found = [x or 0.0 for x in expected.agg(*[x.alias(f"s{k}") for k, x in enumerate(sums)]).first()]
+        expected = patterns.selectExpr(*names, "n", f"n * ({_posterior(names, model)}) AS good")
+        expected = expected.selectExpr(*names, "good", "n - good AS bad")
+        found = [x or 0.0 for x in expected.selectExpr("sum(good)", "sum(bad)", *cast).first()]
         size, counts = found[:2], found[2:]
 
         def rates(counts, start):
@@ -190,19 +189,17 @@ def fit(measures: DataFrame, settings: Settings = Settings()) -> Model:
 def judged(measures: DataFrame, model: Model) -> DataFrame:
     """The measures with ``quality`` (0 to 1), ``base_failed`` and ``good``: the verdict."""
     votes = [vote(rule) for rule in model.settings.rules]
-    rows = measures.withColumn("quality", _posterior(votes, model)).withColumn("base_failed", base_failed())
+    rows = measures.withColumns({"quality": F.expr(_posterior(votes, model)), "base_failed": base_failed()})
     return rows.withColumn("good", ~F.col("base_failed") & (F.col("quality") >= model.settings.kept))
 
 
 def quality(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """``doc_id``, the measures, ``quality``, ``base_failed`` and ``good`` of each document. Texts are
-    read once."""
-    measures, _ = written(measured(docs, "doc_id"), "measures")
+    """``doc_id``, ``text_key``, the measures, ``quality``, ``base_failed`` and ``good`` of each document.
+    Texts are read once."""
+    measures, _ = written(measured(docs), "measures")
     return judged(measures, fit(measures, settings))
 
 
 def good_documents(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The documents judged good, with all their columns."""
-    rows = docs.select(F.struct("*").alias("kept"), F.col("text").alias("text"))
-    model = fit(measured(docs), settings)
-    return judged(_with_measures(rows), model).where("good").select("kept.*")
+    return without(docs, quality(docs, settings).where("not good"))

@@ -49,7 +49,7 @@ def texts():
 def test_measures_equal_plain_python(spark, awkward):
     rows = [(i, t) for i, t in enumerate(texts())]
     docs = spark.createDataFrame(rows, "doc_id long, text string").union(awkward.select(F.col("doc_id") + 1000, "text"))
-    found = ws.measured(docs, "doc_id").collect()
+    found = ws.measured(docs).drop("text_key").collect()
     expected = [(r.doc_id, *measures(r.text)) for r in docs.collect()]
     assert sorted(map(repr, map(tuple, found))) == sorted(map(repr, expected))
 
@@ -114,12 +114,12 @@ def test_good_documents_keep_their_columns(spark, awkward, nothing):
     assert kept.columns == awkward.columns
     assert {r.doc_id for r in kept.collect()} <= {r.doc_id for r in awkward.collect()}
     assert ws.good_documents(nothing).collect() == [] and ws.quality(nothing).collect() == []
-    clash = awkward.select("*", *[F.lit(1).alias(c) for c in ("kept", "quality", "good", "n_words", "h", "at")])
+    clash = awkward.select("*", *[F.lit(1).alias(c) for c in ("kept", "quality", "good", "n_words", "h", "at", "text_key")])
     assert ws.good_documents(clash).columns == clash.columns
-    clash.unpersist()
     assert ws.good_documents(clash).count() == kept.count()
 
 
 def test_no_python_in_the_plan(spark, awkward):
-    plan = ws.judged(ws.measured(awkward, "doc_id"), ws.fit(ws.measured(awkward)))._jdf.queryExecution().executedPlan().toString()
+    measures = ws.measured(awkward)
+    plan = ws.judged(measures, ws.fit(measures))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
