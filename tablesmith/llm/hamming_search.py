@@ -93,10 +93,8 @@ def nearest(codes: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     spark = codes.sparkSession
     wanted = k + 1  # the query may be among its own neighbours
     ranked = Window.partitionBy("code").orderBy("id")
-    known = codes.where(F.col("id").isNotNull() & F.col("code").isNotNull())
-    rows, _ = written(
-        known.withColumn("r", F.row_number().over(ranked)).where(F.col("r") <= wanted).drop("r").distinct(), "codes"
-    )
+    known = codes.where(F.col("id").isNotNull() & F.col("code").isNotNull()).select("id", "code").distinct()
+    rows, _ = written(known.withColumn("r", F.row_number().over(ranked)).where(F.col("r") <= wanted).drop("r"), "codes")
     index, _ = written(rows.groupBy("code").agg(F.count("*").alias("n")), "index")
     n = index.count()
     segments = _segments(n)

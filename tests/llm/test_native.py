@@ -140,3 +140,11 @@ def test_sign_codes(spark):
 def test_no_neighbours_in_an_empty_table(spark):
     df = spark.createDataFrame([], "id long, code long")
     assert hs.nearest(df, df, 3).collect() == []
+
+
+def test_repeated_rows_take_no_neighbours_place(spark):
+    rows = [(1, 7)] * 5 + [(2, 7), (3, 7), (4, 255)]
+    df = spark.createDataFrame(rows, "id long, code long")
+    query = spark.createDataFrame([(9, 7)], "id long, code long")
+    found = sorted(hs.nearest(df, query, 2).collect(), key=lambda r: r["rank"])
+    assert [(r.id, r.distance) for r in found] == [(1, 0), (2, 0)]
