@@ -30,51 +30,75 @@ from .shared import binary_array, column_of, dropped, kept_by, new_path, written
 LANE = 128
 BLOCK_TOKENS = 1 << 20
 PART_TOKENS = 1 << 23
-CACHED_WORDS = 1 << 20
+#: Pieces in each of two generations that a worker remembers, about 150 bytes each.
+CACHED_WORDS = 1 << 17
+#: Pieces that are encoded with one call.
+TOGETHER = 1000
 _TAIL = ".,!$%&#*?;:"
 
 
-class _WordIds(dict):
+class _WordIds:
     """Little-endian 16- or 32-bit ids of text between blanks.
 
     The tokenizer splits on white space before anything else, so a text's ids are the ids of what
-    stands between blanks, one after another. Common pieces are looked up, new ones are encoded.
+    stands between blanks, one after another. Pieces seen lately are looked up, new ones are encoded
+    together. What was not seen for a whole generation is forgotten.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self[""] = b""
-
-    def encoded(self, piece: str) -> bytes:
-        ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
-        return np.array(ids, self.kind).tobytes()
-
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-            self[""] = b""
-        found = None
-        # Below U+0100 case folding is the same everywhere and nothing composes; punctuation after a
-        # letter is always a token run of its own.
-        if "<|" not in piece and max(piece) < "Ā":
-            plain = piece.lower()
-            core = plain.rstrip(_TAIL)
-            if plain != piece and core == plain:
-                found = self[plain]
-            elif core != plain and core and core[-1].isalpha():
-                found = self[core] + self[plain[len(core) :]]
-        if found is None:
-            found = self.encoded(piece)
-        if len(piece) <= 64:
-            self[piece] = found
+        self.young, self.old = {"": b""}, {}
+
+    def of(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text."""
+        split = [text.replace("\n", " ").split(" ") for text in texts]
+        self._learn(set().union(*split).difference(self.young))
+        known = self.young.__getitem__
+        found = [b"".join(map(known, pieces)) for pieces in split]
+        if len(self.young) > CACHED_WORDS:
+            self.old, self.young = {k: v for k, v in self.young.items() if len(k) <= 64}, {"": b""}
         return found
 
-    def of(self, text: str) -> bytes:
-        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
+    def _remembered(self, pieces: set[str]) -> set[str]:
+        """Those that no generation knows; the others are young again."""
+        unknown = set()
+        for piece in pieces:
+            if piece in self.old:
+                self.young[piece] = self.old[piece]
+            else:
+                unknown.add(piece)
+        return unknown
+
+    def _learn(self, pieces: set[str]) -> None:
+        whole, made = set(), []
+        for piece in self._remembered(pieces):
+            # Below U+0100 case folding is the same everywhere and nothing composes; punctuation after a
+            # letter is always a token run of its own.
+            if "<|" not in piece and max(piece) < "Ā":
+                plain = piece.lower()
+                core = plain.rstrip(_TAIL)
+                if core and core != piece and (core == plain or core[-1].isalpha()):
+                    made.append((piece, core, plain[len(core) :]))
+                    continue
+            whole.add(piece)
+        parts = {x for _, core, tail in made for x in (core, tail)}.difference(self.young)
+        self._encode(list(whole | self._remembered(parts)))
+        for piece, core, tail in made:
+            self.young[piece] = self.young[core] + self.young[tail]
+
+    def _encode(self, pieces: list[str]) -> None:
+        """Encode pieces with blanks between them, and cut where each begins."""
+        for first in range(0, len(pieces), TOGETHER):
+            some = pieces[first : first + TOGETHER]
+            found = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
+            ids = np.array(found.ids, self.kind).tobytes()
+            begins = np.fromiter((begin for begin, _ in found.offsets), np.int64, len(found.ids))
+            lengths = np.fromiter(map(len, some), np.int64, len(some)) + 1
+            cuts = [*(np.searchsorted(begins, np.cumsum(lengths) - lengths) * self.kind.itemsize).tolist(), len(ids)]
+            self.young.update((piece, ids[cuts[i] : cuts[i + 1]]) for i, piece in enumerate(some))
 
 
 def _encoder(path: str) -> _WordIds:
@@ -93,8 +117,7 @@ def token_ids(docs: DataFrame, tokenizer: str, end_id: int, id_col="doc_id", tex
         for batch in batches:
             texts = column_of(batch, "text")
             for first in range(0, len(texts), 500):
-                part = texts.slice(first, 500)
-                ids = [words.of(t.as_py() or "") + end for t in part]
+                ids = [x + end for x in words.of([t or "" for t in texts.slice(first, 500).to_pylist()])]
                 n = [len(x) // words.kind.itemsize for x in ids]
                 yield pa.RecordBatch.from_arrays(
                     [column_of(batch, "doc_id").slice(first, 500), pa.array(n, pa.int64()), binary_array(ids)],
@@ -234,7 +257,9 @@ def write_ids(ids: DataFrame, path: str, kind: str, part_tokens: int = PART_TOKE
     leading = -(-unknown // part_tokens)
     parts = max(1, -(-(int(n.sum()) - unknown) // part_tokens))
     cuts = [k / parts for k in range(1, parts)]
-    bounds = np.array(ids.approxQuantile("doc_id", cuts, 0.2 / parts) if cuts else [], float)
+    # Bounds need not be ids: as longs they split ids beyond 2^53 in order, too.
+    found = ids.approxQuantile("doc_id", cuts, 0.2 / parts) if cuts else []
+    bounds = np.array([min(int(x), (1 << 63) - 1) for x in found], np.int64)
     shared = spark.sparkContext.broadcast((code, bounds, leading))  # a vocabulary and a number per part
 
     def encode(batches):
@@ -246,7 +271,7 @@ def write_ids(ids: DataFrame, path: str, kind: str, part_tokens: int = PART_TOKE
                 sizes = np.array([len(x) for x in raw], np.int64) // np.dtype(kind).itemsize
                 data, n_bytes, checkpoints, lanes = code.encode(np.frombuffer(b"".join(raw), kind), sizes)
                 doc = column_of(batch, "doc_id").slice(first, 500)
-                at = np.array(doc.fill_null(-(1 << 63)), np.int64).astype(float)
+                at = np.array(doc.fill_null(-(1 << 63)), np.int64)
                 low, high = np.searchsorted(bounds, at, "left"), np.searchsorted(bounds, at, "right")
                 data, ends = data.tobytes(), np.cumsum(n_bytes)
                 bits = [data[e - s : e] for s, e in zip(n_bytes, ends, strict=True)]

@@ -94,8 +94,10 @@ _kept: dict[str, dict] = {}
 def kept_by(owner: str) -> dict:
     """What an operator keeps between the tasks of one worker process. Workers are used again by other
     operators, whose tasks drop it here."""
-    for other in [name for name in _kept if name != owner]:
-        del _kept[other]
+    if others := [name for name in _kept if name != owner]:
+        for other in others:
+            del _kept[other]
+        pa.default_memory_pool().release_unused()
     return _kept.setdefault(owner, {})
 
 
@@ -119,18 +121,18 @@ def _multiplier(seed: int) -> np.uint64:
 _BASE = _multiplier(11)
 _BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _MIX = _multiplier(12)
-_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
 def _power_tables(n: int) -> list[np.ndarray]:
     """Powers of the base and of its inverse up to ``n``."""
-    if len(_powers[0]) <= n:
+    powers = kept_by("slices").setdefault("powers", [np.ones(1, np.uint64)] * 2)
+    if len(powers[0]) <= n:
         size = 1 << int(n).bit_length()
         for k, base in enumerate((_BASE, _BASE_INVERSE)):
             factors = np.full(size, base, np.uint64)
             factors[0] = 1
-            _powers[k] = np.multiply.accumulate(factors)
-    return _powers
+            powers[k] = np.multiply.accumulate(factors)
+    return powers
 
 
 def mixed(h: np.ndarray) -> np.ndarray:

@@ -52,6 +52,28 @@ def test_rows_without_id_fill_parts_of_their_own(spark):
     assert {tuple(r) for r in read(spark, docs)} == {tuple(r) for r in found}
 
 
+@pytest.mark.parametrize("base", [1 << 60, -(1 << 62)])
+def test_ids_beyond_doubles_stay_in_order(spark, base):
+    docs = spark.createDataFrame([(base + i, f"{i * 7919 % 601} " + "some words " * 20) for i in range(600)], "doc_id long, text string")
+    path = h.encoded_documents(docs, PATH, part_tokens=2_000)
+    assert spark.read.parquet(f"{path}/blocks").select("part").distinct().count() > 1 or base < 0
+    found = sorted(h.read_ids(spark, path, h.digest, h.DIGEST).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in found] == [base + i for i in range(600)]
+
+
+def test_pieces_are_encoded_together_and_forgotten(monkeypatch):
+    monkeypatch.setattr(h, "CACHED_WORDS", 20)
+    monkeypatch.setattr(h, "TOGETHER", 3)
+    tokenizer, words = Tokenizer.from_file(PATH), h._WordIds(PATH)
+    texts = ["", " ", "a  b\n\nc", "Don't STOP. stop, Stop!", "x\ty\u2003z", "<|endoftext|> é\u0301 ÉCOLE école.", "🙂🙂 漢字 ß.", "\x00 \u200b a"]
+    texts += [" ".join(f"{w}{i}." for w in ("Alpha", "beta", "GAMMA")) for i in range(60)]
+    for _ in range(2):
+        for some in (texts[:9], texts[9:30], texts[30:], texts[:9]):
+            expected = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, words.kind).tobytes() for t in some]
+            assert words.of(some) == expected
+            assert len(words.old) < 400
+
+
 def test_no_documents(spark, nothing):
     assert read(spark, nothing) == []
 
