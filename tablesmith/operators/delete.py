@@ -11,6 +11,7 @@ from ..functions.predicates import Condition, predicate
 from ..functions.values import col
 from ..sources.items import ITEM, Items, bind_items
 from ..sources.scratch import fits_broadcast, join_side
+from .bands import band_match, first_by_bands, only_band
 from .change import Change, counted, counted_rows, with_errors
 from .matching import (
     ITEM_ARRAY,
@@ -64,6 +65,7 @@ def delete_per_item(
     bound = bind_items(items, df.schema, where, combine)
     names = [col(name) for name in df.columns]
     match = key_match(where, combine)
+    band = band_match(where, combine)
     if match is not None:
         keys = key_columns(match)
         per_key = bound.valid.groupBy(*keys).agg(F.min(ITEM).alias(_FIRST))
@@ -82,15 +84,10 @@ def delete_per_item(
             counts = F.broadcast(counts)
     else:
         near = envelope(df, bound, where, combine)
-        marked = df.withColumn(_FIRST, F.lit(None).cast("bigint"))
-        for slice_ in item_slices(bound):
-            matching = F.filter(
-                ITEM_ARRAY, lambda x: array_predicate(df.schema, where, combine, x)
-            )
-            first = F.try_element_at(matching, F.lit(1)).getField(ITEM)
-            first = first if near is None else F.when(near, first)
-            marked = marked.withColumn(ITEM_ARRAY, slice_)
-            marked = marked.withColumn(_FIRST, F.coalesce(_FIRST, first)).drop(ITEM_ARRAY)
+        if band is not None and only_band(where, band):
+            marked = first_by_bands(df, bound, where, band, _FIRST)
+        else:
+            marked = _first_by_array(df, bound, where, combine, near)
         image = marked.where(F.col(_FIRST).isNull()).select(*names)
         hit = marked if near is None else marked.where(near)
         hit = hit.where(F.col(_FIRST).isNotNull())
@@ -99,3 +96,15 @@ def delete_per_item(
     valid = bound.valid.select(F.col(ITEM).alias("item"))
     counts = valid.join(counts, "item", "left").select("item", counted_rows())
     return Change(image, with_errors(counts, bound.errors), hit)
+
+
+def _first_by_array(df, bound, where, combine, near):
+    """All rows with the first item that matches each: every row tries the items, slice by slice."""
+    marked = df.withColumn(_FIRST, F.lit(None).cast("bigint"))
+    for slice_ in item_slices(bound):
+        matching = F.filter(ITEM_ARRAY, lambda x: array_predicate(df.schema, where, combine, x))
+        first = F.try_element_at(matching, F.lit(1)).getField(ITEM)
+        first = first if near is None else F.when(near, first)
+        marked = marked.withColumn(ITEM_ARRAY, slice_)
+        marked = marked.withColumn(_FIRST, F.coalesce(_FIRST, first)).drop(ITEM_ARRAY)
+    return marked

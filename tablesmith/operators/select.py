@@ -13,6 +13,7 @@ from ..functions.predicates import Condition, predicate
 from ..functions.values import col
 from ..sources.items import ITEM, Items, bind_items
 from ..sources.scratch import fits_broadcast, join_side
+from .bands import band_match, select_by_bands
 from .matching import (
     ITEM_ARRAY,
     array_predicate,
@@ -107,6 +108,7 @@ def select_per_item(
     columns = [col(name) for name in df.columns]
     item = F.col(ITEM).alias("item")
     match = key_match(where, combine)
+    band = band_match(where, combine)
 
     if match is not None:
         rows = df
@@ -130,23 +132,29 @@ def select_per_item(
     else:
         near = envelope(df, bound, where, combine)
         df = df if near is None else df.where(near)
-        found = concatenated(
-            [
-                df.withColumn(ITEM_ARRAY, slice_).select(
-                    F.explode(
-                        F.filter(
-                            ITEM_ARRAY, lambda x: array_predicate(df.schema, where, combine, x)
-                        ).getField(ITEM)
-                    ).alias("item"),
-                    *columns,
-                )
-                for slice_ in item_slices(bound)
-            ]
-            or [df.select(F.lit(0).cast("bigint").alias("item"), *columns).where("false")]
-        )
+        if band is not None:
+            found = select_by_bands(df, bound, where, band)
+        else:
+            found = _select_by_array(df, bound, where, combine)
         if n is not None:
             found = top_n(found, ["item"], ordering, n)
     if ordered:
         found = found.orderBy("item", *ordering)
     return found, bound.errors
 
+
+
+def _select_by_array(df, bound, where, combine):
+    """Every row with every item that asks for it: each row filters the items, slice by slice."""
+    columns = [col(name) for name in df.columns]
+
+    def asking(item):
+        return array_predicate(df.schema, where, combine, item)
+
+    found = [
+        df.withColumn(ITEM_ARRAY, slice_).select(
+            F.explode(F.filter(ITEM_ARRAY, asking).getField(ITEM)).alias("item"), *columns
+        )
+        for slice_ in item_slices(bound)
+    ]
+    return concatenated(found or [df.select(F.lit(0).cast("bigint").alias("item"), *columns).where("false")])

@@ -233,12 +233,44 @@ def _per_item_range(spark, folder):
 
 
 @checked(
-    "select_per_item_sparse_index",
-    """SELECT 1000000000 * e.event_id - 5 AS item, p.p_partkey FROM events e JOIN part p
-       ON p.p_retailprice > 800 + 100 * e.value AND e.event_type = 'purchase' AND e.event_id % 50 < 5""",
+    "select_per_item_between",
+    """SELECT e.event_id AS item, o.o_orderkey, o.o_totalprice FROM events e JOIN orders o
+       ON o.o_totalprice >= 1000 * e.value AND o.o_totalprice < 1000 * e.value + 100""",
+)
+def _between(spark, folder):
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_totalprice")
+    rows, _ = select_per_item(orders, _price_bands(spark, folder, 100), _in_band("o_totalprice"))
+    return rows
+
+
+def _price_bands(spark, folder, width: int) -> Items:
+    low = 1000 * F.col("value")
+    events = table(spark, folder, "events").select(F.col("event_id").alias("item"), low.alias("low"))
+    return Items(events.withColumn("high", F.col("low") + width))
+
+
+def _in_band(column: str) -> list[Condition]:
+    return [Condition(column, "greaterThanOrEqual", FromItem("low")), Condition(column, "lessThan", FromItem("high"))]
+
+
+@checked(
+    "select_per_item_between_topn",
+    """SELECT item, o_orderkey, o_totalprice FROM (
+         SELECT e.event_id AS item, o.o_orderkey, o.o_totalprice, row_number() OVER (PARTITION BY e.event_id
+                ORDER BY o_totalprice DESC NULLS LAST, o_orderkey) AS rn
+         FROM events e JOIN orders o ON o.o_totalprice >= 1000 * e.value AND o.o_totalprice < 1000 * e.value + 400
+           AND o.o_orderstatus = 'F') WHERE rn <= 2""",
 )
-def _sparse_index(spark, folder):
-    return _parts_above(spark, folder, "event_type = 'purchase' AND event_id % 50 < 5")
+def _between_topn(spark, folder):
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
+    rows, _ = select_per_item(
+        orders,
+        _price_bands(spark, folder, 400),
+        [*_in_band("o_totalprice"), Condition("o_orderstatus", "equals", "F")],
+        sort=[SortRule("o_totalprice", "DESC"), SortRule("o_orderkey")],
+        limit=2,
+    )
+    return rows.drop("o_orderstatus")
 
 
 @checked(
@@ -646,6 +678,33 @@ _PATTERN_FIRST = """SELECT o_orderkey, o_custkey, min(n_nationkey) AS item FROM
    GROUP BY ALL"""
 
 
+def _delete_bands(spark, folder):
+    where = [*_in_band("o_totalprice"), Condition("o_orderstatus", "notEquals", "P")]
+    return delete_per_item(table(spark, folder, "orders"), _price_bands(spark, folder, 100), where)
+
+
+_FIRST_BAND = """SELECT o.o_orderkey, min(e.event_id) AS item FROM orders o JOIN events e
+       ON o.o_totalprice >= 1000 * e.value AND o.o_totalprice < 1000 * e.value + 100 AND o.o_orderstatus != 'P'
+       GROUP BY o.o_orderkey"""
+
+
+@checked(
+    "delete_per_item_between",
+    f"SELECT * FROM orders WHERE o_orderkey NOT IN (SELECT o_orderkey FROM ({_FIRST_BAND}))",
+)
+def _delete_between(spark, folder):
+    return _delete_bands(spark, folder).image
+
+
+@checked(
+    "delete_per_item_between_counts",
+    f"""SELECT e.event_id AS item, count(f.item) AS "affectedRows" FROM events e
+        LEFT JOIN ({_FIRST_BAND}) f ON f.item = e.event_id GROUP BY e.event_id""",
+)
+def _delete_between_counts(spark, folder):
+    return _delete_bands(spark, folder).outcome.select("item", "affectedRows")
+
+
 @checked(
     "delete_per_item_pattern",
     f"SELECT o_orderkey, o_custkey FROM ({_PATTERN_FIRST}) WHERE item IS NULL",
