@@ -1,9 +1,9 @@
 """Whitening of embeddings by Golub-Kahan-Lanczos bidiagonalisation.
 
-The centred fit list X (a row per distinct vector) stays distributed. Each step takes two products over
-it: Xv, of which only inner products with the earlier left vectors come back, and Xᵀu. A left vector
-is never stored: u = Xw, and w has one entry per dimension, so a pass over the rows gives it again.
-Both sides are made orthogonal to all earlier ones, left vectors twice. The driver holds vectors of
+The centred fit list X (a row per distinct vector) stays distributed. Each step alternates between two
+products over it: Xv, of which only inner products with the earlier left vectors come back, and Xᵀ times
+that. A left vector is never stored: u = Xw, and w has one entry per dimension, so a pass over the rows
+gives it again. Both sides are made orthogonal to all earlier ones, again where much was taken away. The driver holds vectors of
 one entry per dimension and the small bidiagonal matrix, whose SVD yields components and deviations.
 
 The steps end when the wanted components have residuals at the level of rounding and what is left of
@@ -91,7 +91,7 @@ def _matrices(batches: Iterator[pa.RecordBatch], dims: int) -> Iterator[tuple[pa
 def _summed(fit: DataFrame, dims: int, of: Callable[[np.ndarray], np.ndarray], size: int) -> np.ndarray:
     """The sum over all rows of what ``of`` makes of a matrix of them: ``size`` numbers.
 
-    A task sends one array, and Spark adds the arrays place by place before and after its shuffle.
+    Every task sends one array, and one task adds them place by place.
     """
 
     def parts(batches):
@@ -100,7 +100,7 @@ def _summed(fit: DataFrame, dims: int, of: Callable[[np.ndarray], np.ndarray], s
             total += of(rows)
         yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], pa.list_(pa.float64()))], ["part"])
 
-    sums = fit.select("x").mapInArrow(parts, "part array<double>")
+    sums = fit.select("x").mapInArrow(parts, "part array<double>").repartition(1)
     sums = sums.select(F.posexplode("part").alias("i", "v")).groupBy("i").agg(F.sum("v").alias("v"))
     total = np.zeros(size)
     for i, v in sums.collect():
@@ -137,22 +137,22 @@ class _Bidiagonal:
         if not self.right:
             self.right.append(self._fresh())
         v, k = self.right[-1], len(self.left)
-        # Xv, and what of it lies along earlier left vectors.
-        along, norm2 = self._inner(v)
-        w = v - sum((c * other for c, other in zip(along, self.left)), np.zeros(self.dims))
+        # Xv and Xᵀ(Xv) in one pass over the rows, and what of Xv lies along earlier left vectors.
+        z, along, norm2 = self._product(v)
+        w, z = self._freed(v, z, along)
         alpha = float(np.sqrt(max(norm2 - along @ along, 0.0)))
+        if self.settings.rounding * self.size < alpha:
+            w, z = w / alpha, z / alpha
+            if alpha < 0.7 * np.sqrt(norm2):
+                # Much was taken away: once more, from what is left.
+                z, along, norm2 = self._product(w)
+                w, z = self._freed(w, z, along)
+                length = float(np.sqrt(max(norm2 - along @ along, 0.0)))
+                alpha = alpha * length
+                if length:
+                    w, z = w / length, z / length
         self.size = max(self.size, alpha)
-        if alpha > self.settings.rounding * self.size:
-            # Again, together with Xᵀu.
-            w = w / alpha
-            z, along, norm2 = self._back(w)
-            for c, other, its in zip(along, self.left, self.back):
-                w, z = w - c * other, z - c * its
-            length = float(np.sqrt(max(norm2 - along @ along, 0.0)))
-            alpha = alpha * length
-        if alpha > self.settings.rounding * self.size:
-            w, z = w / length, z / length
-        else:
+        if alpha <= self.settings.rounding * self.size:
             # Nothing of X is left along v.
             w, z, alpha = np.zeros(self.dims), np.zeros(self.dims), 0.0
         self.left.append(w)
@@ -174,17 +174,14 @@ class _Bidiagonal:
             self.beta.append(beta)
             self.right.append(self._orthogonal(rest / beta))
 
-    def _inner(self, v: np.ndarray) -> tuple[np.ndarray, float]:
-        basis = np.array([*self.left, v]).T
-
-        def of(x):
-            y = x @ basis
-            return y.T @ y[:, -1]
-
-        found = self.product(of, basis.shape[1])
-        return found[:-1], found[-1]
+    def _freed(self, w: np.ndarray, z: np.ndarray, along: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """u = Xw and Xᵀu without their parts along earlier left vectors."""
+        for c, other, its in zip(along, self.left, self.back, strict=True):
+            w, z = w - c * other, z - c * its
+        return w, z
 
-    def _back(self, w: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+    def _product(self, w: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+        """Xᵀu of u = Xw, its products with the earlier left vectors and with itself."""
         basis = np.array([*self.left, w]).T
 
         def of(x):
