@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import functools
+import operator
 import re
 import uuid
 import warnings
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..errors import TableOperationError
 from ..functions.guard import require_read_only
@@ -216,22 +218,16 @@ class SqlExecutor:
         return affected
 
     def _merge(self, info, write: ParsedWrite, query: Query) -> int:
-        """MERGE in the shape an upsert has: equal keys, the same source value for a column whether
-        it is updated or inserted."""
-        if query.params:
-            raise TableOperationError("MERGE with parameters is not supported")
-        inserts = dict(write.inserts)
-        keys = dict(write.keys)
-        for name, text in [*write.assignments, *write.keys]:
-            if inserts.get(name) != text:
-                raise TableOperationError(
-                    f'MERGE must insert the same value into "{name}" as it compares or updates'
-                )
+        """MERGE: an upsert if it has the shape of one, else branch by branch."""
+        if write.branches:
+            target = self.store.read(info)
+            check_merge(self.spark, target, write, query.params)
+            affected = merge_change(self.spark, target, write, query.params).outcome.first().affectedRows
+            if affected:
+                self.store.publish(info, lambda rows: merge_change(self.spark, rows, write, query.params))
+            return affected
+        inserts, keys = dict(write.inserts), dict(write.keys)
         left_out = set(inserts) - set(keys) - {name for name, _ in write.assignments}
-        if left_out and write.assignments:
-            raise TableOperationError(
-                f"MERGE must update every inserted column: {', '.join(sorted(left_out))}"
-            )
         unknown = [name for name in inserts if name not in info.schema.names]
         if unknown:
             raise TableOperationError(f"Unknown column(s): {', '.join(unknown)}")
@@ -276,7 +272,7 @@ def marked_change(spark, target: DataFrame, write: ParsedWrite, params: Sequence
     target.createOrReplaceTempView(view)
     try:
         marked = spark.sql(
-            f"SELECT {own}.*, {', '.join(extra)} FROM {view} AS {own}",
+            f"{write.before} SELECT {own}.*, {', '.join(extra)} FROM {view} AS {own}",
             args=list(params) or None,
         )
     finally:
@@ -299,6 +295,112 @@ def marked_change(spark, target: DataFrame, write: ParsedWrite, params: Sequence
     return Change(image, outcome, touched, tuple(new))
 
 
+_ROW, _HERE = "__row", "__here"
+
+
+def _merged(spark, target: DataFrame, write: ParsedWrite, params: Sequence) -> DataFrame:
+    """Table and source joined once: the table's columns, ``__row`` (NULL for new rows), ``__here`` (NULL
+    without a source row), per branch whether it is taken (``__c<k>``) and its values (``__v<k>_<i>``).
+
+    The pieces of the statement keep their order, so positional parameters keep their places, and a
+    branch's values are only computed where it is taken.
+    """
+    view, own, other = f"tablesmith_{uuid.uuid4().hex}", quoted(write.alias), quoted(write.source_alias)
+    kinds = {
+        "matched": f"{own}.{_ROW} IS NOT NULL AND {other}.{_HERE} IS NOT NULL",
+        "new": f"{own}.{_ROW} IS NULL",
+        "unmatched": f"{other}.{_HERE} IS NULL",
+    }
+    join = "FULL OUTER" if any(branch.rows == "new" for branch in write.branches) else "LEFT"
+    steps, results = [], []
+    for k, branch in enumerate(write.branches):
+        earlier = "".join(f" AND NOT `__c{j}`" for j in range(k) if write.branches[j].rows == branch.rows)
+        steps.append(f"{kinds[branch.rows]}{earlier} AND coalesce(({branch.condition or 'true'}\n), false) AS `__c{k}`")
+        results.append(f"`__c{k}`")
+        for i, (_, text) in enumerate(_values(target, write, branch)):
+            steps.append(f"CASE WHEN `__c{k}` THEN ({text}\n) END AS `__v{k}_{i}`")
+            results.append(f"`__v{k}_{i}`")
+    target.withColumn(_ROW, F.monotonically_increasing_id()).createOrReplaceTempView(view)
+    extended = " ".join(f"|> EXTEND {step}" for step in steps)
+    try:
+        return spark.sql(
+            f"{write.before} FROM {view} AS {own} {join} JOIN (SELECT *, true AS {_HERE} FROM {write.source_text}\n) AS {other} "
+            f"ON ({write.on}\n) {extended} |> SELECT {own}.*, {other}.{_HERE} AS {_HERE}, {', '.join(results)}",
+            args=list(params) or None,
+        )
+    finally:
+        spark.catalog.dropTempView(view)
+
+
+def _values(target: DataFrame, write: ParsedWrite, branch) -> list[tuple[str, str]]:
+    if branch.star:
+        return [(name, f"{quoted(write.source_alias)}.{quoted(name)}") for name in target.columns]
+    unknown = [name for name, _ in branch.assignments if name not in target.columns]
+    if unknown:
+        raise TableOperationError(f"Unknown column(s): {', '.join(unknown)}")
+    return branch.assignments
+
+
+def _taken(write: ParsedWrite, verbs: Sequence[str]) -> Column:
+    return functools.reduce(
+        operator.or_, [F.col(f"__c{k}") for k, b in enumerate(write.branches) if b.verb in verbs], F.lit(False)
+    )
+
+
+def check_merge(spark, target: DataFrame, write: ParsedWrite, params: Sequence = ()) -> None:
+    """Refuse a MERGE in which two source rows change one row of the table."""
+    changed = _merged(spark, target, write, params).where(_taken(write, ("update", "delete")))
+    twice = changed.where(F.col(_HERE)).groupBy(_ROW).count().where("count > 1")
+    if not twice.isEmpty():
+        raise TableOperationError("MERGE: more than one source row changes the same row of the table")
+
+
+def merge_change(spark, target: DataFrame, write: ParsedWrite, params: Sequence = ()) -> Change:
+    """A MERGE with conditions and any branches, as one join. The first branch that holds is taken."""
+    names = target.columns
+    merged = _merged(spark, target, write, params)
+    # A row that several source rows match is there once, with the one that changes it, if any.
+    matched = merged.where(F.col(_ROW).isNotNull())
+    acted = _taken(write, ("update", "delete"))
+    if not matched.where(F.col(_HERE)).groupBy(_ROW).count().where("count > 1").isEmpty():
+        one = Window.partitionBy(_ROW).orderBy(acted.desc())
+        matched = matched.withColumn("__nth", F.row_number().over(one)).where("__nth = 1").drop("__nth")
+
+    def image_of(name: str, verb: str, otherwise: Column) -> Column:
+        value = otherwise
+        for k, branch in reversed(list(enumerate(write.branches))):
+            places = [i for i, (column, _) in enumerate(_values(target, write, branch)) if column == name]
+            if branch.verb == verb:
+                new = F.col(f"__v{k}_{places[-1]}").cast(target.schema[name].dataType) if places else otherwise
+                value = F.when(F.col(f"__c{k}"), new).otherwise(value)
+        return value.alias(name)
+
+    kept = matched.where(~_taken(write, ("delete",))).select(*[image_of(n, "update", col(n)) for n in names])
+    new = merged.where(F.col(_ROW).isNull() & _taken(write, ("insert",)))
+    new = new.select(*[image_of(n, "insert", F.lit(None).cast(target.schema[n].dataType)) for n in names])
+    rows = merged.where(_taken(write, ("update", "delete", "insert")))
+    changed = {n for b in write.branches if b.verb == "update" for n, _ in _values(target, write, b)}
+    return Change(
+        kept.unionByName(new),
+        rows.agg(F.count("*").alias("affectedRows")),
+        # Matched rows that no branch takes are read again, too: they keep source rows from being new.
+        matched.where(acted | F.col(_HERE)).select(*[col(n) for n in names]),
+        tuple(sorted(changed)),
+        new,
+    )
+
+
+def merge_statement(spark, target: DataFrame, statement: str, params: Sequence = ()) -> Change:
+    """What a MERGE given as text does to the rows of ``target``."""
+    write = parsed_write(spark, statement, parse(spark, statement))
+    if write is None or write.verb != "merge":
+        raise TableOperationError("Not a MERGE")
+    if not write.branches:
+        raise TableOperationError("This MERGE is an upsert; use upsert_rows")
+    check_merge(spark, target, write, params)
+    return merge_change(spark, target, write, params)
+
+
 def statement_change(spark, target: DataFrame, statement: str, params: Sequence = ()) -> Change:
     """What an UPDATE or DELETE given as text does to the rows of ``target``: the table afterwards, the
     rows it hits, and how many they are."""

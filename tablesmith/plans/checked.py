@@ -13,7 +13,7 @@ from ..functions.predicates import Condition, FromItem
 from ..functions.text import cut_middle, factorial, fibonacci, weighted_length
 from ..operators.delete import DeleteStatement, delete_per_item, delete_rows
 from ..operators.insert import batch_rows, insert_image, mapping_rows
-from ..operators.query import statement_change
+from ..operators.query import merge_statement, statement_change
 from ..operators.select import concatenated, result_cap, select_per_item, select_rows, tagged, unique_names
 from ..operators.update import UpdateStatement, update_per_item, update_rows
 from ..operators.upsert import (
@@ -968,6 +968,48 @@ def _sql_update(spark, folder):
     return statement_change(spark, table(spark, folder, "customer"), statement, [2, 10]).image
 
 
+_MERGE = """WITH latest AS (SELECT user_id, max_by(value, event_id) AS value, max_by(event_type, event_id) AS kind
+       FROM parquet.`{folder}/events.parquet` GROUP BY user_id)
+  MERGE INTO shop.customer AS c USING latest AS e ON (c.c_custkey = e.user_id AND c.c_nationkey < ?)
+  WHEN MATCHED AND e.kind = 'error' THEN DELETE
+  WHEN MATCHED AND e.value > ? THEN UPDATE SET c_acctbal = c.c_acctbal + e.value, c_mktsegment = upper(e.kind)
+  WHEN NOT MATCHED AND e.value > ? THEN INSERT (c_custkey, c_name, c_acctbal) VALUES (e.user_id + ?, e.kind, e.value)
+  WHEN NOT MATCHED BY SOURCE AND c.c_acctbal < 0 THEN UPDATE SET c_mktsegment = 'NONE'"""
+_MERGED_SQL = """WITH latest AS (SELECT user_id, max_by(value, event_id) AS value, max_by(event_type, event_id) AS kind
+       FROM events GROUP BY user_id),
+  merged AS (SELECT *, CASE
+      WHEN c_custkey IS NULL THEN CASE WHEN value > 20 THEN 'insert' END
+      WHEN user_id IS NULL THEN CASE WHEN c_acctbal < 0 THEN 'mark' END
+      WHEN kind = 'error' THEN 'delete' WHEN value > 50 THEN 'update' END AS action
+    FROM customer FULL JOIN latest ON c_custkey = user_id AND c_nationkey < 18)
+"""
+
+
+def _merge_by_text(spark, folder):
+    return merge_statement(spark, table(spark, folder, "customer"), _MERGE.format(folder=folder), [18, 50, 20, 1_000_000])
+
+
+@checked(
+    "sql_merge_image",
+    _MERGED_SQL
+    + """SELECT c_custkey, c_name, c_nationkey,
+           CASE WHEN action = 'update' THEN c_acctbal + value ELSE c_acctbal END AS c_acctbal,
+           CASE action WHEN 'update' THEN upper(kind) WHEN 'mark' THEN 'NONE' ELSE c_mktsegment END AS c_mktsegment
+         FROM merged WHERE c_custkey IS NOT NULL AND action IS DISTINCT FROM 'delete'
+         UNION ALL SELECT 1000000 + user_id, kind, NULL, value, NULL FROM merged WHERE action = 'insert'""",
+)
+def _merge_image(spark, folder):
+    return _merge_by_text(spark, folder).image
+
+
+@checked(
+    "sql_merge_counts",
+    _MERGED_SQL + """SELECT count(action) AS "affectedRows" FROM merged""",
+)
+def _merge_counts(spark, folder):
+    return _merge_by_text(spark, folder).outcome
+
+
 @checked(
     "sql_delete_image",
     """SELECT * FROM orders

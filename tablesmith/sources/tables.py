@@ -269,10 +269,22 @@ class TableStore:
         )
         folders = {tuple(row)[:-1]: unquote(row["__folder"]) for row in written.collect()}
         gone = [values for values in touched if values not in folders]
-        if self.undo is not None:
-            before = self._partition_locations(info, [*folders, *gone])
-            self.undo.append(lambda: self._move_partitions(info, before, [*folders, *gone]))
-        self._move_partitions(info, folders, gone)
+        moved = [*folders, *gone]
+        before = self._partition_locations(info, moved)
+
+        def back():
+            self._move_partitions(info, before, moved)
+
+        try:
+            self._move_partitions(info, folders, gone)
+        except Exception as error:
+            # Some of them may have moved: all or none.
+            try:
+                back()
+            except Exception:
+                raise TableOperationError(f"{info.name} is left with partitions of two versions: {error}") from error
+            raise
+        self._on_undo(back)
 
     def _move_partitions(self, info: TableInfo, folders: Mapping, gone: Sequence[tuple]) -> None:
         """Point the catalog at new folders; ``gone`` partitions without a folder are dropped."""

@@ -240,6 +240,76 @@ def test_merge_text(spark, sql, ski):
         write(sql, only_new.replace("t.RESORT_ID = s.id", "t.RESORT_ID > s.id"))
 
 
+def test_merge_with_conditions_parameters_and_with(spark, sql, ski):
+    resorts = f"{ski}.SKI_RESORT"
+    start = {int(r.RESORT_ID): int(r.ALTITUDE) for r in spark.table(resorts).collect()}
+    low, high = min(start, key=start.get), max(start, key=start.get)
+    merge = (
+        f"WITH given AS (SELECT * FROM VALUES ({low}, 1), ({high}, 2), (77, 3), (78, -3), (79, 4) AS v(id, n)) "
+        f"MERGE INTO {resorts} AS t USING given s ON t.RESORT_ID = s.id AND s.n < ? "
+        "WHEN MATCHED AND t.ALTITUDE = ? THEN DELETE "
+        "WHEN MATCHED THEN UPDATE SET ALTITUDE = t.ALTITUDE + s.n + ?, RESORT_NAME = 'a ? -- b' "
+        "WHEN NOT MATCHED AND s.n > ? THEN INSERT (RESORT_ID, ALTITUDE) VALUES (s.id, s.n)"
+    )
+    (result,) = write(sql, Query(merge, [100, start[high], 1000, 0]))
+    assert result.affected_rows == 4
+    found = {r.RESORT_ID: r for r in spark.table(resorts).collect()}
+    assert set(found) == {*start, 77, 79} - {high}
+    assert int(found[low].ALTITUDE) == start[low] + 1001 and found[low].RESORT_NAME == "a ? -- b"
+    assert found[77].RESORT_NAME is None and int(found[79].ALTITUDE) == 4
+
+    def of(actions, source=f"VALUES ({low}, 5), ({low}, 6)"):
+        return f"MERGE INTO {resorts} t USING (SELECT * FROM {source} AS v(id, n)) s ON t.RESORT_ID = s.id {actions}"
+
+    # Two source rows for one row of the table are refused only if both change it.
+    with pytest.raises(TableOperationError, match="more than one source row"):
+        write(sql, of("WHEN MATCHED AND s.n > 1 THEN UPDATE SET ALTITUDE = s.n"))
+    before = spark.table(resorts).count()
+    assert write(sql, of("WHEN MATCHED AND s.n > 5 THEN UPDATE SET ALTITUDE = s.n"))[0].affected_rows == 1
+    assert spark.table(resorts).count() == before
+    assert int(spark.table(resorts).where(f"RESORT_ID = {low}").first().ALTITUDE) == 6
+    # A branch's values are computed only where it is taken.
+    zero = of("WHEN MATCHED AND s.n <> 0 THEN UPDATE SET ALTITUDE = 6 div s.n WHEN MATCHED THEN DELETE", f"VALUES ({low}, 0)")
+    assert write(sql, zero)[0].affected_rows == 1
+    assert write(sql, of("WHEN NOT MATCHED BY SOURCE AND t.RESORT_ID = 79 THEN DELETE"))[0].affected_rows == 1
+    assert write(sql, of("WHEN NOT MATCHED BY SOURCE AND t.RESORT_ID = -1 THEN DELETE"))[0].affected_rows == 0
+    with pytest.raises(TableOperationError, match="Unknown column"):
+        write(sql, of("WHEN MATCHED AND true THEN UPDATE SET NOTHING = 1"))
+
+
+def test_merge_rewrites_only_what_it_matches(spark, operations, sql, schema):
+    operations.store.create(schema, "DAYS", "ID INT, N INT, DAY INT", partitioned_by=["DAY"])
+    spark.sql(f"INSERT INTO {schema}.DAYS VALUES (1, 10, 1), (2, 20, 2), (3, 30, 3), (4, 40, 4)")
+    before = set(spark.table(f"{schema}.DAYS").inputFiles())
+    # Row 2 is matched but not changed: its source row must not become a new row.
+    merge = (
+        f"MERGE INTO {schema}.DAYS t USING (SELECT * FROM VALUES (1, 5), (2, 0), (9, 9) AS v(id, n)) s ON t.ID = s.id "
+        "WHEN MATCHED AND s.n > 0 THEN UPDATE SET N = s.n WHEN NOT MATCHED THEN INSERT (ID, N, DAY) VALUES (s.id, s.n, 3)"
+    )
+    assert write(sql, merge)[0].affected_rows == 2
+    found = sorted(tuple(r) for r in spark.table(f"{schema}.DAYS").collect())
+    assert found == [(1, 5, 1), (2, 20, 2), (3, 30, 3), (4, 40, 4), (9, 9, 3)]
+    assert len(before & set(spark.table(f"{schema}.DAYS").inputFiles())) == 1
+    star = (
+        f"MERGE INTO {schema}.DAYS t USING (SELECT 4 AS ID, 44 AS N, 7 AS DAY) s ON t.ID = s.ID "
+        "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"
+    )
+    assert write(sql, star)[0].affected_rows == 1
+    assert sorted(tuple(r) for r in spark.table(f"{schema}.DAYS").where("ID = 4").collect()) == [(4, 44, 7)]
+
+
+def test_with_before_update_and_delete(spark, sql, ski):
+    few = f"WITH few AS (SELECT RESORT_ID FROM {ski}.SKI_RESORT WHERE COUNTRY = ?) "
+    n = spark.table(f"{ski}.SKI_RUN").count()
+    results = write(
+        sql,
+        Query(few + f"UPDATE {ski}.SKI_RUN SET DIFFICULTY = 'X' WHERE RESORT_ID IN (SELECT RESORT_ID FROM few)", ["France"]),
+        Query(few + f"DELETE FROM {ski}.SKI_RUN WHERE RESORT_ID IN (SELECT RESORT_ID FROM few)", ["France"]),
+    )
+    assert results[0].affected_rows == results[1].affected_rows > 0
+    assert spark.table(f"{ski}.SKI_RUN").count() == n - results[1].affected_rows
+
+
 def test_ddl_affects_no_rows(spark, sql, schema):
     results = write(
         sql,
