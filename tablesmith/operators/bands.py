@@ -7,6 +7,8 @@ its own. A range covers some tiles as a whole, and at most two gaps in part.
 * **Reads** need every item of a row. The whole tiles of an item are the fewest nodes of a binary tree
   over the tiles, so a range that covers everything is two dozen entries, not one per tile. A row looks
   at the nodes above its tile and, for the gap it lies in, at the items that end there.
+* **Updates** need the last item of a row that sets a column, found like the first of a delete. How many
+  rows an item hits is added up from the rows of its nodes, so no row carries the items that hit it.
 * **Deletes** need the first item of a row: a step function over the tiles, the least item that covers
   each as a whole, and again the few items that end in the gap. One search per row.
 
@@ -174,6 +176,23 @@ class Tiles:
         )
         return F.concat(above, F.array(self.gap(F.col(_TILE))))
 
+    def over_nodes(self, per_node: DataFrame) -> DataFrame:
+        """A row per tile and node above it that ``per_node`` has."""
+        every = per_node.sparkSession.range(2 * self.n_edges + 1).select(F.col("id").alias(_TILE))
+        return every.select(_TILE, F.explode(self.path()).alias(_NODE)).join(per_node, _NODE)
+
+    def ends(self, spans: DataFrame) -> DataFrame:
+        """The items that end in each gap."""
+        fields = F.struct(ITEM, *[c for c in self.items.columns if c != ITEM])
+        ends = spans.select(F.explode(F.col("gaps").cast("array<bigint>")).alias(_TILE), fields.alias("i"))
+        return ends.groupBy(_TILE).agg(F.collect_list("i").alias(_HELD))
+
+    def stepped(self, df: DataFrame, covered: DataFrame, spans: DataFrame) -> DataFrame:
+        """All rows with what holds for their whole tile and with the items that end in it."""
+        steps = pinned(covered.join(self.ends(spans), _TILE, "full"))
+        rows = self.placed(df, {_TILE: col(self.band.column)}).withColumn(_TILE, F.col(_TILE).cast("long"))
+        return rows.join(F.broadcast(steps) if fits_broadcast(steps) else steps, _TILE, "left")
+
 
 def select_by_bands(
     df: DataFrame, bound: Bound, where: Sequence[Condition], band: Band
@@ -212,20 +231,58 @@ def first_by_bands(
     spans = tiles.spans()
     # The least item over each node, then over the nodes above each tile.
     least = tiles.nodes(spans).groupBy(_NODE).agg(F.min(ITEM).alias("least"))
-    every = df.sparkSession.range(2 * tiles.n_edges + 1).select(F.col("id").alias(_TILE))
-    above = every.select(_TILE, F.explode(tiles.path()).alias(_NODE)).join(least, _NODE)
-    covered = above.groupBy(_TILE).agg(F.min("least").alias("__whole"))
-    fields = F.struct(ITEM, *[c for c in tiles.items.columns if c != ITEM])
-    ends = spans.select(F.explode(F.col("gaps").cast("array<bigint>")).alias(_TILE), fields.alias("i"))
-    ends = ends.groupBy(_TILE).agg(F.collect_list("i").alias(_HELD))
-    steps = pinned(covered.join(ends, _TILE, "full"))
-    rows = tiles.placed(df, {_TILE: col(band.column)}).withColumn(_TILE, F.col(_TILE).cast("long"))
-    steps = F.broadcast(steps) if fits_broadcast(steps) else steps
-    rows = rows.join(steps, _TILE, "left")
+    covered = tiles.over_nodes(least).groupBy(_TILE).agg(F.min("least").alias("__whole"))
+    rows = tiles.stepped(df, covered, spans)
     inside = F.filter(_HELD, lambda x: array_predicate(df.schema, where, "AND", x))
     found = F.least(F.col("__whole"), F.array_min(inside.getField(ITEM)))
+    return rows.select(*[col(c) for c in df.columns], F.when(_asked(df, where, band), found).alias(name))
+
+
+def last_by_bands(
+    df: DataFrame, tiles: Tiles, where: Sequence[Condition], columns: Sequence[int]
+) -> DataFrame:
+    """All rows with, per mapped column j, what the last item that asks for the row and sets the column
+    gives it, ``__v<j>`` with field ``v``; NULL for none."""
+    spans = tiles.spans()
+    pairs = {j: F.when(F.col(f"__h{j}"), F.struct(F.col(ITEM).alias("at"), F.col(f"__s{j}").alias("v"))) for j in columns}
+    last = [F.max_by(pair, F.when(pair.isNotNull(), F.col(ITEM))).alias(f"__p{j}") for j, pair in pairs.items()]
+    per_node = tiles.nodes(spans).groupBy(_NODE).agg(*last)
+    latest = [F.max_by(f"__p{j}", F.col(f"__p{j}.at")).alias(f"__p{j}") for j in columns]
+    covered = tiles.over_nodes(per_node).groupBy(_TILE).agg(*latest)
+    rows = tiles.stepped(df, covered, spans)
+    rows = rows.withColumn(_HELD, F.filter(_HELD, lambda x: array_predicate(df.schema, where, "AND", x)))
+
+    def later(a, x):
+        return F.when(a.isNull() | (x["at"] > a["at"]), x).otherwise(a)
+
+    def value(j: int) -> Column:
+        ends = F.filter(_HELD, lambda x: x.getField(f"__h{j}"))
+        ends = F.transform(ends, lambda x: F.struct(x.getField(ITEM).alias("at"), x.getField(f"__s{j}").alias("v")))
+        best = F.aggregate(F.coalesce(ends, F.filter(F.array(f"__p{j}"), lambda x: F.lit(False))), F.col(f"__p{j}"), later)
+        return F.when(_asked(df, where, tiles.band), best).alias(f"__v{j}")
+
+    return rows.select(*[col(c) for c in df.columns], *[value(j) for j in columns])
+
+
+def counts_by_bands(df: DataFrame, tiles: Tiles, where: Sequence[Condition]) -> DataFrame:
+    """How many rows each item asks for (``item``, ``affectedRows``), for those that ask for any: whole
+    nodes by their numbers of rows, the gaps an item ends in row by row."""
+    spans = tiles.spans()
+    asked = df.where(_asked(df, where, tiles.band))
+    rows = tiles.placed(asked, {_TILE: col(tiles.band.column)})
+    sizes = pinned(rows.groupBy(_TILE).agg(F.count("*").alias("n")))
+    sizes = sizes.select(F.explode(tiles.path()).alias(_NODE), "n").groupBy(_NODE).agg(F.sum("n").alias("n"))
+    whole = tiles.nodes(spans).select(ITEM, _NODE).join(sizes, _NODE).select(F.col(ITEM).alias("item"), "n")
+    ends = pinned(tiles.ends(spans))
+    met = rows.withColumn(_TILE, F.col(_TILE).cast("long"))
+    met = met.join(F.broadcast(ends) if fits_broadcast(ends) else ends, _TILE)
+    hits = F.filter(_HELD, lambda x: array_predicate(df.schema, where, "AND", x))
+    partly = met.select(F.explode(hits.getField(ITEM)).alias("item"), F.lit(1).cast("long").alias("n"))
+    return whole.unionByName(partly).groupBy("item").agg(F.sum("n").alias("affectedRows"))
+
+
+def _asked(df: DataFrame, where: Sequence[Condition], band: Band) -> Column:
+    """What every item asks of a row."""
     plain = [c for c in where if not c.uses_item]
     asked = col(band.column).isNotNull()
-    if plain:
-        asked = asked & predicate(df.schema, plain)
-    return rows.select(*[col(c) for c in df.columns], F.when(asked, found).alias(name))
+    return asked & predicate(df.schema, plain) if plain else asked

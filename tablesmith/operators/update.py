@@ -14,6 +14,7 @@ from ..functions.predicates import Condition, FromItem, predicate
 from ..functions.values import assignment_literal, col, storage_type
 from ..sources.items import ITEM, Items, bind_items
 from ..sources.scratch import fits_broadcast, join_side
+from .bands import Tiles, band_match, counts_by_bands, last_by_bands, only_band
 from .change import Change, counted, counted_rows, with_errors
 from .matching import (
     ITEM_ARRAY,
@@ -101,7 +102,7 @@ def update_per_item(
     bound = bind_items(items, df.schema, where, combine, sets, auto_map=sets is None)
     if not bound.columns:
         raise TableOperationError("No columns to update. Name at least one column.", 0)
-    match = key_match(where, combine)
+    match, band = key_match(where, combine), band_match(where, combine)
     changed = {name: position for position, name in enumerate(bound.columns)}
     if match is not None:
         for position in match.keys:
@@ -112,6 +113,8 @@ def update_per_item(
                 changed.pop(name, None)
     if match is not None and changed.keys().isdisjoint(c.column for c in where):
         image, counts, touched = _update_by_key(df, bound, changed, where, match)
+    elif band is not None and only_band(where, band) and changed.keys().isdisjoint(c.column for c in where):
+        image, counts, touched = _update_by_bands(df, bound, changed, where, band)
     else:
         image, counts, touched = _update_by_array(df, bound, changed, where, combine)
     return Change(image, with_errors(counts, bound.errors), touched, tuple(changed))
@@ -153,6 +156,26 @@ def _update_by_key(df, bound, changed, where, match):
     return image, counts, df.join(side, on, "left_semi")
 
 
+def _update_by_bands(df, bound, changed, where, band):
+    """As by key: no statement can change which rows another one matches, so the last one counts."""
+    tiles = Tiles(bound, where, band)
+    marked = last_by_bands(df, tiles, where, list(changed.values()))
+    image = marked.select(
+        *[
+            F.when(F.col(f"__v{changed[name]}").isNotNull(), F.col(f"__v{changed[name]}.v"))
+            .otherwise(col(name))
+            .alias(name)
+            if name in changed
+            else col(name)
+            for name in df.columns
+        ]
+    )
+    hit = functools.reduce(op.or_, [F.col(f"__v{j}").isNotNull() for j in changed.values()])
+    valid = bound.valid.select(F.col(ITEM).alias("item"))
+    counts = valid.join(counts_by_bands(df, tiles, where), "item", "left").select("item", counted_rows())
+    return image, counts, marked.where(hit)
+
+
 def _update_by_array(df, bound, changed, where, combine):
     """The items as an array, folded over each row in item order: every item sees what the earlier
     ones left. Narrow: rows stay where they are."""

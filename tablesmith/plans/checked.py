@@ -534,6 +534,38 @@ def _update_fold_counts(spark, folder):
     return _update_overlapping(spark, folder).outcome.select("item", "affectedRows")
 
 
+def _update_bands(spark, folder):
+    low = 1000 * F.col("value")
+    events = table(spark, folder, "events").select(F.col("event_id").alias("item"), low.alias("low"), "event_type", "user_id")
+    where = [*_in_band("o_totalprice"), Condition("o_orderstatus", "notEquals", "P")]
+    sets = {"o_orderpriority": FromItem("event_type"), "o_custkey": FromItem("user_id")}
+    items = Items(events.withColumn("high", F.col("low") + 100))
+    return update_per_item(table(spark, folder, "orders"), items, where, sets=sets)
+
+
+_IN_BAND = "o_totalprice >= 1000 * value AND o_totalprice < 1000 * value + 100 AND o_orderstatus != 'P'"
+
+
+@checked(
+    "update_per_item_between",
+    f"""SELECT o.* REPLACE (CASE WHEN e.event_id IS NULL THEN o_orderpriority ELSE event_type END AS o_orderpriority,
+          CASE WHEN e.event_id IS NULL THEN o_custkey ELSE user_id END AS o_custkey)
+        FROM orders o LEFT JOIN (SELECT o_orderkey AS k, max(event_id) AS last FROM orders JOIN events ON {_IN_BAND}
+          GROUP BY o_orderkey) ON k = o_orderkey LEFT JOIN events e ON e.event_id = last""",
+)
+def _update_between(spark, folder):
+    return _update_bands(spark, folder).image
+
+
+@checked(
+    "update_per_item_between_counts",
+    f"""SELECT event_id AS item, count(o_orderkey) AS "affectedRows" FROM events LEFT JOIN orders ON {_IN_BAND}
+        GROUP BY event_id""",
+)
+def _update_between_counts(spark, folder):
+    return _update_bands(spark, folder).outcome.select("item", "affectedRows")
+
+
 @checked(
     "update_auto_map",
     """WITH last_value_of AS (SELECT user_id, value FROM events WHERE event_type = 'purchase'

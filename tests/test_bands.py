@@ -13,6 +13,7 @@ from tablesmith import Condition, FromItem, Items
 from tablesmith.operators import bands
 from tablesmith.operators.delete import delete_per_item
 from tablesmith.operators.select import select_per_item
+from tablesmith.operators.update import update_per_item
 
 TESTS = {
     "lessThan": operator.lt,
@@ -78,6 +79,20 @@ def test_ranges_equal_single_statements(spark, narrow, monkeypatch, where, broad
     assert sorted(map(repr, map(tuple, change.image.collect()))) == sorted(map(repr, left))
     assert {r.item: r.affectedRows for r in change.outcome.collect()} == counts
 
+    sets = {"s": FromItem("s"), "n": FromItem("low")}
+    wide = df.withColumn("n", F.lit(None).cast("int"))
+    change = update_per_item(wide, batch, where, sets=sets)
+    image = {row[0]: [row[2], None] for row in rows}
+    if not any(c.column == "s" for c in where):
+        hits = {item[0]: sum(holds(row, item, where) for row in rows) for item in items}
+        for item in items:
+            for row in rows:
+                if holds(row, item, where):
+                    image[row[0]] = [item[3], item[1]]
+        assert {r.id: [r.s, r.n] for r in change.image.collect()} == image
+        assert {r.item: r.affectedRows for r in change.outcome.collect()} == hits
+        assert change.touched.count() == sum(any(holds(row, item, where) for item in items) for row in rows)
+
 
 @pytest.mark.parametrize(
     "kind, values",
