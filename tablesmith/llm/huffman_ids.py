@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .shared import binary_array, column_of, dropped, kept_by, new_path, written
+from .shared import binary_array, column_of, dropped, give_back, kept_by, new_path, written
 
 LANE = 128
 BLOCK_TOKENS = 1 << 20
@@ -123,6 +123,7 @@ def token_ids(docs: DataFrame, tokenizer: str, end_id: int, id_col="doc_id", tex
                     [column_of(batch, "doc_id").slice(first, 500), pa.array(n, pa.int64()), binary_array(ids)],
                     names=["doc_id", "n_tokens", "ids"],
                 )
+        give_back()
 
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     return source.mapInArrow(encode, "doc_id long, n_tokens long, ids binary")

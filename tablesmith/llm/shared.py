@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import uuid
@@ -91,13 +92,21 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 _kept: dict[str, dict] = {}
 
 
+def give_back() -> None:
+    """Return freed memory to the system. Workers live on and would hold it for whoever comes next."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def kept_by(owner: str) -> dict:
     """What an operator keeps between the tasks of one worker process. Workers are used again by other
     operators, whose tasks drop it here."""
     if others := [name for name in _kept if name != owner]:
         for other in others:
             del _kept[other]
-        pa.default_memory_pool().release_unused()
+        give_back()
     return _kept.setdefault(owner, {})
 
 
