@@ -1,9 +1,10 @@
 """How a set of items meets the rows of a table.
 
-Two ways, neither of which pairs every item with every row in a join:
+Three ways, none of which pairs every item with every row in a join:
 
-* **by key**: all item-dependent conditions are ``equals`` joined by AND, so rows and items meet in
-  an equi join;
+* **by key**: item-dependent conditions are ``equals`` joined by AND, so rows and items meet in an equi
+  join;
+* **by tiles** (``bands``): conditions joined by AND that compare a column with an item's value;
 * **by array**: anything else. A slice of the items becomes one array value (a scalar subquery) and
   each row filters that array: a narrow plan, rows stay where they are.
 """
@@ -46,6 +47,12 @@ def key_match(conditions: Sequence[Condition], combine: str) -> KeyMatch | None:
     return KeyMatch(tuple(taken), rest)
 
 
+def has_key(conditions: Sequence[Condition], combine: str) -> bool:
+    """Whether one condition among others that must hold together is an equality with an item's value:
+    rows and items then meet in an equi join that tests the others on its pairs."""
+    return combine == "AND" and any(c.uses_item and c.operator == "equals" for c in conditions)
+
+
 def require_item_value(conditions: Sequence[Condition]) -> None:
     if not any(c.uses_item for c in conditions):
         raise TableOperationError(

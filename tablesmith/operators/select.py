@@ -18,6 +18,7 @@ from .matching import (
     ITEM_ARRAY,
     array_predicate,
     envelope,
+    has_key,
     item_slices,
     key_columns,
     key_equality,
@@ -132,7 +133,11 @@ def select_per_item(
     else:
         near = envelope(df, bound, where, combine)
         df = df if near is None else df.where(near)
-        if band is not None:
+        if has_key(where, combine):
+            wanted = F.broadcast(bound.valid) if fits_broadcast(bound.valid) else bound.valid
+            pairs = predicate(df.schema, where, combine, item_value=lambda i: F.col(f"__w{i}"))
+            found = df.join(wanted, pairs).select(item, *columns)
+        elif band is not None:
             found = select_by_bands(df, bound, where, band)
         else:
             found = _select_by_array(df, bound, where, combine)

@@ -253,6 +253,20 @@ def _in_band(column: str) -> list[Condition]:
     return [Condition(column, "greaterThanOrEqual", FromItem("low")), Condition(column, "lessThan", FromItem("high"))]
 
 
+@checked(
+    "select_per_item_key_and_range",
+    """SELECT e.event_id AS item, o.o_orderkey, o.o_totalprice FROM events e JOIN orders o
+       ON o.o_custkey = e.user_id AND o.o_totalprice > 1000 * e.value""",
+)
+def _key_and_range(spark, folder):
+    events = table(spark, folder, "events").select(
+        F.col("event_id").alias("item"), "user_id", (1000 * F.col("value")).alias("floor")
+    )
+    where = [Condition("o_custkey", "equals", FromItem("user_id")), Condition("o_totalprice", "greaterThan", FromItem("floor"))]
+    rows, _ = select_per_item(table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_totalprice"), Items(events), where)
+    return rows.drop("o_custkey")
+
+
 @checked(
     "select_per_item_between_topn",
     """SELECT item, o_orderkey, o_totalprice FROM (
