@@ -24,9 +24,10 @@ from .matching import (
     require_item_value,
     rows_per_key,
 )
+from .patterns import first_by_patterns, keyed_items, pattern_match
 from .update import require_where
 
-_FIRST = "__first"
+_FIRST, _KEYED = "__first", "__keyed"
 
 
 @dataclass(frozen=True)
@@ -66,6 +67,7 @@ def delete_per_item(
     names = [col(name) for name in df.columns]
     match = key_match(where, combine)
     band = band_match(where, combine)
+    pattern = pattern_match(where, combine)
     if match is not None:
         keys = key_columns(match)
         per_key = bound.valid.groupBy(*keys).agg(F.min(ITEM).alias(_FIRST))
@@ -86,6 +88,11 @@ def delete_per_item(
         near = envelope(df, bound, where, combine)
         if band is not None and only_band(where, band):
             marked = first_by_bands(df, bound, where, band, _FIRST)
+        elif pattern is not None:
+            items = keyed_items(df if near is None else df.where(near), bound, where, pattern)
+            marked = _first_by_array(df, items.rest, where, combine, near)
+            marked = first_by_patterns(marked, items.keyed, where, pattern, _KEYED)
+            marked = marked.withColumn(_FIRST, F.least(_FIRST, _KEYED)).drop(_KEYED)
         else:
             marked = _first_by_array(df, bound, where, combine, near)
         image = marked.where(F.col(_FIRST).isNull()).select(*names)

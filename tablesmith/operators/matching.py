@@ -1,10 +1,11 @@
 """How a set of items meets the rows of a table.
 
-Three ways, none of which pairs every item with every row in a join:
+Four ways, none of which pairs every item with every row in a join:
 
 * **by key**: item-dependent conditions are ``equals`` joined by AND, so rows and items meet in an equi
   join;
 * **by tiles** (``bands``): conditions joined by AND that compare a column with an item's value;
+* **by patterns** (``patterns``): conditions joined by AND, one of them a pattern of the item's;
 * **by array**: anything else. A slice of the items becomes one array value (a scalar subquery) and
   each row filters that array: a narrow plan, rows stay where they are.
 """

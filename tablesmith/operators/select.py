@@ -25,6 +25,7 @@ from .matching import (
     key_match,
     require_item_value,
 )
+from .patterns import keyed_items, pattern_match, select_by_patterns
 
 
 def select_rows(
@@ -110,6 +111,7 @@ def select_per_item(
     item = F.col(ITEM).alias("item")
     match = key_match(where, combine)
     band = band_match(where, combine)
+    pattern = pattern_match(where, combine)
 
     if match is not None:
         rows = df
@@ -139,6 +141,10 @@ def select_per_item(
             found = df.join(wanted, pairs).select(item, *columns)
         elif band is not None:
             found = select_by_bands(df, bound, where, band)
+        elif pattern is not None:
+            items = keyed_items(df, bound, where, pattern)
+            found = select_by_patterns(df, items.keyed, where, pattern)
+            found = found.unionAll(_select_by_array(df, items.rest, where, combine))
         else:
             found = _select_by_array(df, bound, where, combine)
         if n is not None:
@@ -148,7 +154,6 @@ def select_per_item(
     return found, bound.errors
 
 
-
 def _select_by_array(df, bound, where, combine):
     """Every row with every item that asks for it: each row filters the items, slice by slice."""
     columns = [col(name) for name in df.columns]
