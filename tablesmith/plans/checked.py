@@ -253,6 +253,49 @@ def _in_band(column: str) -> list[Condition]:
     return [Condition(column, "greaterThanOrEqual", FromItem("low")), Condition(column, "lessThan", FromItem("high"))]
 
 
+@checked(
+    "select_per_item_patterns",
+    """SELECT p.p_partkey AS item, o.o_orderkey FROM part p JOIN orders o
+       ON CAST(o.o_orderkey AS VARCHAR) LIKE '%' || CAST(p.p_partkey AS VARCHAR) || '_'""",
+)
+def _patterns(spark, folder):
+    key = F.col("p_partkey")
+    items = table(spark, folder, "part").select(
+        key.alias("item"), F.concat(F.lit("%"), key.cast("string"), F.lit("_")).alias("pattern")
+    )
+    where = [Condition("o_orderkey", "like", FromItem("pattern"))]
+    rows, _ = select_per_item(table(spark, folder, "orders").select("o_orderkey"), Items(items), where)
+    return rows
+
+
+_BY_PATTERNS_SQL = """(SELECT o_orderkey, min(p_partkey) AS item FROM orders LEFT JOIN part
+  ON CAST(o_orderkey AS VARCHAR) LIKE '%' || CAST(p_partkey AS VARCHAR) || '0'
+  OR CAST(o_orderkey AS VARCHAR) LIKE '%' || CAST(p_partkey AS VARCHAR) || '5' GROUP BY 1)"""
+
+
+def _delete_by_patterns(spark, folder):
+    key = F.col("p_partkey")
+    items = table(spark, folder, "part").select(
+        key.alias("item"), F.concat(key.cast("string"), F.lit("[05]$")).alias("pattern")
+    )
+    where = [Condition("o_orderkey", "regexpLike", FromItem("pattern"))]
+    return delete_per_item(table(spark, folder, "orders").select("o_orderkey"), Items(items), where)
+
+
+@checked("delete_per_item_patterns", f"SELECT o_orderkey FROM {_BY_PATTERNS_SQL} WHERE item IS NULL")
+def _delete_patterns(spark, folder):
+    return _delete_by_patterns(spark, folder).image
+
+
+@checked(
+    "delete_per_item_patterns_counts",
+    f"""SELECT p_partkey AS item, count(o_orderkey) AS "affectedRows" FROM part
+        LEFT JOIN {_BY_PATTERNS_SQL} ON item = p_partkey GROUP BY 1""",
+)
+def _delete_patterns_counts(spark, folder):
+    return _delete_by_patterns(spark, folder).outcome.select("item", "affectedRows")
+
+
 @checked(
     "select_per_item_key_and_range",
     """SELECT e.event_id AS item, o.o_orderkey, o.o_totalprice FROM events e JOIN orders o
