@@ -75,6 +75,15 @@ class TableInfo:
         return int(sized.group(1)) if sized else None
 
 
+def _rows_written(done: DataFrame) -> int:
+    """The rows of a statement that has run, as its write counted them when it committed its tasks."""
+    plan = done._jdf.queryExecution().executedPlan()
+    written = plan.commandPhysicalPlan().metrics().get("numOutputRows")
+    if written.isEmpty():
+        raise TableOperationError("The statement did not say how many rows it wrote.")
+    return written.get().value()
+
+
 class TableStore:
     """Definitions and published versions of tables whose files live under ``root``."""
 
@@ -184,14 +193,11 @@ class TableStore:
 
     def insert_statement(self, info: TableInfo, statement: str, args: Sequence) -> int:
         """Run an INSERT given as SQL text and count the rows it added."""
-        before = self._files(info, always=True)
-        self.spark.sql(statement, args=list(args) or None)
+        before = self._files(info)
+        done = self.spark.sql(statement, args=list(args) or None)
         self._on_undo(lambda: self._remove_new_files(info, before))
         self.spark.catalog.refreshTable(info.name)
-        added = sorted(set(self.read(info).inputFiles()) - before)
-        if not added:
-            return 0
-        return self.spark.read.parquet(*[unquote(path) for path in added]).count()
+        return _rows_written(done)
 
     def publish(self, info: TableInfo, change: Callable[[DataFrame], object]) -> None:
         """Make the outcome of ``change`` the table's content.
@@ -374,9 +380,9 @@ class TableStore:
         if self.undo is not None:
             self.undo.append(step)
 
-    def _files(self, info: TableInfo, always: bool = False) -> set[str]:
-        """The table's files, listed only where an append may have to be taken back or counted."""
-        if self.undo is None and not always:
+    def _files(self, info: TableInfo) -> set[str]:
+        """The table's files, listed only where an append may have to be taken back."""
+        if self.undo is None:
             return set()
         self.spark.catalog.refreshTable(info.name)
         return set(self.read(info).inputFiles())

@@ -435,3 +435,19 @@ def test_single_batch_with_parameters_runs_sequentially(spark, sql, ski):
 def test_unknown_mode(sql):
     with pytest.raises(TableOperationError, match="Unknown mode"):
         sql.execute("SELECT 1", mode="parallel")
+
+
+@pytest.mark.parametrize("parts", [(), ("K",)])
+def test_insert_text_counts_what_its_write_wrote(spark, operations, schema, parts, monkeypatch):
+    store = operations.store
+    store.create(schema, "T", "ID BIGINT, K INT", partitioned_by=list(parts))
+    monkeypatch.setattr(type(store), "_files", lambda *_: set())
+    for statement, rows in (
+        (f"INSERT INTO {schema}.T SELECT id, CAST(id % 3 AS INT) FROM range(1000)", 1000),
+        (f"INSERT INTO {schema}.T SELECT id, 1 FROM range(10) WHERE id < 0", 0),
+        (f"INSERT INTO {schema}.T VALUES (1, 2), (3, NULL)", 2),
+        (f"WITH a AS (SELECT id FROM range(7)) INSERT INTO {schema}.T SELECT id, 0 FROM a", 7),
+    ):
+        (result,) = write(SqlExecutor(operations), statement)
+        assert result.affected_rows == rows, statement
+    assert spark.table(f"{schema}.T").count() == 1009
