@@ -214,8 +214,11 @@ def _op4(spark, folder):
     return hamming_search.nearest(codes, codes.where("id % 100 = 0"), 10)
 
 
-def _found_sql(kind: str, order: int, pattern: str, test: str) -> str:
-    return f"""SELECT doc_id, {order} AS ord, '{kind}' AS kind, start, start + length(m) AS stop FROM (
+def _found_sql(kind: personal_data.Kind, order: int, pattern: str, test: str) -> str:
+    near = personal_data.NEAR
+    around = f"lower(substring(text, greatest(start - {near}, 0) + 1, start - greatest(start - {near}, 0)) || ' ' || substring(text, start + length(m) + 1, {near}))"
+    return f"""SELECT doc_id, {order} AS ord, '{kind.name}' AS kind, start, start + length(m) AS stop,
+      {round(100 * kind.score)} + CASE WHEN regexp_matches({around}, '{kind.context}') THEN 20 ELSE 0 END AS score FROM (
       SELECT doc_id, text, ms[i] AS m, CAST(list_sum(list_transform(ps[1:i], lambda x: length(x)))
         + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS start
       FROM (SELECT *, unnest(range(1, len(ms) + 1)) AS i FROM (
@@ -233,8 +236,8 @@ _MOD97 = f"""list_reduce(list_concat([CAST(0 AS BIGINT)], list_transform(range(1
   CAST(CASE WHEN {_MOVED}[j] >= 'A' THEN ascii({_MOVED}[j]) - 55 ELSE ascii({_MOVED}[j]) - 48 END AS BIGINT))),
   lambda a, x: (a * CASE WHEN x > 9 THEN 100 ELSE 10 END + x) % 97) = 1"""
 _FOUND = " UNION ALL ".join(
-    _found_sql(*x)
-    for x in (
+    _found_sql(personal_data.KINDS[order], order, pattern, test)
+    for _, order, pattern, test in (
         ("email", 0, r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "true"),
         ("ip", 1, r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)",
          "len(list_filter(string_split(m, '.'), lambda p: length(ltrim(p, '0')) > 3 OR (length(ltrim(p, '0')) = 3 AND ltrim(p, '0') > '255'))) = 0"),
@@ -242,16 +245,19 @@ _FOUND = " UNION ALL ".join(
         ("phone", 3, r"\+[0-9][\x20().0-9-]+[0-9]", f"length({_DIGITS}) BETWEEN 9 AND 15"),
         ("iban", 4, r"[A-Z]{2}[0-9]{2}(?:[\x20]?[A-Z0-9]{4}){2,7}(?:[\x20]?[A-Z0-9]{1,3})?",
          f"length({_IBAN}) BETWEEN 15 AND 34 AND NOT regexp_matches(CASE WHEN start > 0 THEN text[start] ELSE '' END || text[start + length(m) + 1], '[A-Za-z0-9]') AND {_MOD97}"),
+        ("ssn", 5, r"[0-9]{3}-[0-9]{2}-[0-9]{4}",
+         "NOT regexp_matches(CASE WHEN start > 0 THEN text[start] ELSE '' END || text[start + length(m) + 1], '[0-9-]')"),
     )
 )
 _PERSONAL_SQL = f"""
-WITH found AS ({_FOUND}),
+WITH found AS (SELECT * FROM ({_FOUND}) WHERE ord < {personal_data.PLAIN} OR score >= {round(100 * personal_data.ENOUGH)}),
 sums AS (SELECT doc_id, count(*) FILTER (kind = 'email') AS n_email, count(*) FILTER (kind = 'ip') AS n_ip,
     count(*) FILTER (kind = 'card') AS n_card, count(*) FILTER (kind = 'phone') AS n_phone,
     string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, ord) FILTER (ord < 4) AS base,
-    string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, ord) AS spans FROM found GROUP BY doc_id)
+    string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, ord) AS spans,
+    string_agg(CAST(score AS VARCHAR), ',' ORDER BY start, ord) AS scores FROM found GROUP BY doc_id)
 SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card,
-  coalesce(n_phone, 0) AS n_phone, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+  coalesce(n_phone, 0) AS n_phone, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(scores, '') AS scores
 FROM documents LEFT JOIN sums USING (doc_id)
 """
 
@@ -269,6 +275,7 @@ def _op8(spark, folder):
         *counts,
         F.sha2(personal_data.as_text(plain), 256).alias("base_sha256"),
         personal_data.as_text(F.col("spans")).alias("spans"),
+        personal_data.scores_as_text(F.col("spans")).alias("scores"),
     )
 
 

@@ -5,10 +5,11 @@ letters' vectors, each rotated by the letter's place (binding of permuted vector
 is the sum of the vectors of all its n-grams (bundling), and a language's prototype the sum over its
 training texts. A text gets the language whose prototype has the largest cosine with its profile.
 
-Sums of vectors are sums of n-gram counts times vectors, so training aggregates counts by language
-and n-gram, a table that doesn't grow with the corpus. Letters are folded to lower case; runs of
-anything else are one word boundary, which is a symbol of the n-grams too. Letters beyond a to z share
-``SYMBOLS`` - 27 symbols by a hash.
+Every letter of any script has a vector of its own, drawn from a seed and its code point when it is first
+met; n-gram vectors are bound on demand. Bundling is a sum, so a task adds up the profiles of its training
+texts by language and sends one vector each. The sums are of whole numbers, so they don't depend on order.
+Letters are folded to lower case; runs of anything else are one word boundary, which is a symbol of the
+n-grams too.
 
 Defined cases: a NULL text, or one without a letter, is ``und`` with score 0, as is everything if
 nothing was learnt; ties go to the first language in alphabetical order; rows with a NULL language
@@ -26,8 +27,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from .shared import SLICE_BYTES, column_of
 
-SYMBOLS = 48
 UNKNOWN = "und"
+#: N-grams that are bound at a time, and languages a task adds up before it sends them.
+BOUND, HELD_LANGUAGES = 4096, 256
+_POINTS = 0x110000
 
 
 @dataclass(frozen=True)
@@ -44,22 +47,37 @@ class Model:
 
 
 @cache
-def _symbols() -> np.ndarray:
-    """The symbol of each code point below 2**16: 0 is no letter."""
-    table = np.zeros(1 << 16, np.uint8)
-    for point in range(1 << 16):
-        if not 0xD800 <= point < 0xE000 and chr(point).isalpha():
-            table[point] = point - 96 if 97 <= point <= 122 else 27 + point * 2654435761 % 4294967296 % (SYMBOLS - 27)
-    return table
-
-
-@cache
-def _vectors(s: Settings) -> np.ndarray:
-    """The bound vector of every run of three symbols."""
-    letters = np.random.default_rng(s.seed).choice(np.array([-1, 1], np.int8), (SYMBOLS, s.dimension))
-    first, second = np.roll(letters, 2, 1), np.roll(letters, 1, 1)
-    pairs = (first[:, None] * second[None]).reshape(-1, s.dimension)
-    return (pairs[:, None] * letters[None]).reshape(-1, s.dimension)
+def _letters() -> np.ndarray:
+    """Whether a code point is a letter."""
+    return np.array([not 0xD800 <= p < 0xE000 and chr(p).isalpha() for p in range(_POINTS)])
+
+
+class _Vectors:
+    """The vectors of the letters met so far; 0 is the word boundary."""
+
+    def __init__(self, s: Settings):
+        self.settings = s
+        self.row = np.full(_POINTS, -1, np.int32)
+        self.rows = np.zeros((0, s.dimension), np.int8)
+
+    def bound(self, trigrams: np.ndarray) -> np.ndarray:
+        """The vectors of n-grams given as three code points each."""
+        s = self.settings
+        for point in np.unique(trigrams[self.row[trigrams] < 0]).tolist():
+            own = np.random.default_rng([s.seed, point]).integers(0, 2, s.dimension, np.int8) * 2 - 1
+            at = np.count_nonzero(self.row >= 0)
+            if at == len(self.rows):
+                self.rows = np.concatenate([self.rows, np.zeros((max(64, at), s.dimension), np.int8)])
+            self.rows[at], self.row[point] = own, at
+        first, second, third = (self.rows[self.row[trigrams[:, k]]] for k in range(3))
+        return np.roll(first, 2, 1) * np.roll(second, 1, 1) * third
+
+    def profile(self, trigrams: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """The bundle of n-grams, each as often as it occurs."""
+        total = np.zeros(self.settings.dimension)
+        for at in range(0, len(trigrams), BOUND):
+            total += counts[at : at + BOUND].astype(np.float64) @ self.bound(trigrams[at : at + BOUND])
+        return total
 
 
 def _runs(column: pa.Array):
@@ -74,53 +92,71 @@ def _runs(column: pa.Array):
 
 
 def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct (text, n-gram) pairs in order, as two arrays, with counts. Texts without letters have none."""
+    """Distinct (text, n-gram) pairs by text, with their counts; an n-gram is three code points. Texts
+    without letters have none."""
     lowered = ["\n" + t.lower() + "\n" for t in texts]
     points = np.frombuffer("".join(lowered).encode("utf-32-le", "surrogatepass"), "<u4")
-    symbols = _symbols()[np.minimum(points, 0xFFFF)]
-    for at in np.flatnonzero(points > 0xFFFF):
-        letter = chr(points[at]).isalpha()
-        symbols[at] = 27 + int(points[at]) % (SYMBOLS - 27) if letter else 0
+    points = np.where(_letters()[points], points, 0)
     text = np.repeat(np.arange(len(texts)), [len(t) for t in lowered])
-    keep = np.ones(len(symbols), bool)
-    keep[1:] = (symbols[1:] > 0) | (symbols[:-1] > 0) | (text[1:] != text[:-1])
-    symbols, text = symbols[keep].astype(np.int64), text[keep]
-    code = (symbols[:-2] * SYMBOLS + symbols[1:-1]) * SYMBOLS + symbols[2:]
-    pair = np.sort((text[:-2] << 20 | code)[text[:-2] == text[2:]])
-    begins = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]])) if len(pair) else np.zeros(0, np.int64)
-    counts = np.diff(np.append(begins, len(pair)))
-    return pair[begins] >> 20, pair[begins] & 0xFFFFF, counts
+    keep = np.ones(len(points), bool)
+    keep[1:] = (points[1:] > 0) | (points[:-1] > 0) | (text[1:] != text[:-1])
+    points, text = points[keep], text[keep]
+    # Code points as their ranks among those that occur, so that three fit one number.
+    seen = np.zeros(_POINTS, bool)
+    seen[points] = True
+    known = np.flatnonzero(seen)
+    rank = np.zeros(_POINTS, np.int64)
+    rank[known] = np.arange(len(known))
+    ranks, size = rank[points], len(known)
+    inside = text[:-2] == text[2:]
+    code = ((ranks[:-2] * size + ranks[1:-1]) * size + ranks[2:])[inside]
+    text = text[:-2][inside]
+    order = np.lexsort((code, text)) if len(texts) * size**3 >= 1 << 63 else np.argsort(text * size**3 + code)
+    code, text = code[order], text[order]
+    new = np.ones(len(code), bool)
+    new[1:] = (code[1:] != code[:-1]) | (text[1:] != text[:-1])
+    begins = np.flatnonzero(new)
+    counts = np.diff(np.append(begins, len(code)))
+    code = code[begins]
+    return text[begins], known[np.stack([code // size**2, code // size % size, code % size], 1)], counts
 
 
 def fit(docs: DataFrame, learn_from, settings: Settings | None = None) -> Model:
     """Prototypes from ``text`` and ``lang`` of all rows that fulfil the condition ``learn_from``."""
     s = settings or Settings()
 
-    def count(batches):
+    def sums(held):
+        names = list(held)
+        profiles = pa.array([np.rint(held[name]).astype(np.int64).tolist() for name in names], pa.list_(pa.int64()))
+        return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), profiles], names=["lang", "profile"])
+
+    def add_up(batches):
+        vectors, held = _Vectors(s), {}
         for batch in batches:
             langs = np.array(column_of(batch, "lang").to_pylist(), object)
             for first, texts in _runs(column_of(batch, "text")):
-                text, code, n = trigrams(texts)
-                for lang in set(langs[first : first + len(texts)]):
-                    mine = (langs[first : first + len(texts)] == lang)[text]
-                    total = np.bincount(code[mine], n[mine])
-                    used = np.flatnonzero(total)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(used), pa.string()), pa.array(used), pa.array(total[used].astype(np.int64))],
-                        names=["lang", "code", "n"],
-                    )
+                text, grams, n = trigrams(texts)
+                theirs = langs[first : first + len(texts)]
+                for lang in sorted(set(theirs)):
+                    mine = (theirs == lang)[text]
+                    held[lang] = held.get(lang, 0) + vectors.profile(grams[mine], n[mine])
+                    if len(held) >= HELD_LANGUAGES:
+                        yield sums(held)
+                        held = {}
+        if held:
+            yield sums(held)
 
     rows = docs.where(learn_from & F.col("lang").isNotNull()).select("text", F.col("lang").cast("string"))
-    sums = rows.mapInArrow(count, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
-    table = sums.toArrow()  # languages times SYMBOLS**3 rows at most
-    lang, code, n = (np.array(table[c].to_pylist()) for c in ("lang", "code", "n"))
-    names = sorted(set(lang.tolist()))
+    parts = rows.mapInArrow(add_up, "lang string, profile array<long>").select("lang", F.posexplode("profile").alias("i", "v"))
+    table = parts.groupBy("lang", "i").agg(F.sum("v").alias("v")).toArrow()  # languages times dimension rows
+    names = sorted(set(table["lang"].to_pylist()))
+    place = {name: k for k, name in enumerate(names)}
     prototypes = np.zeros((len(names), s.dimension))
-    for k, name in enumerate(names):
-        mine = np.flatnonzero(lang == name)
-        prototypes[k] = n[mine].astype(np.float64) @ _vectors(s)[code[mine].astype(np.int64)].astype(np.float64)
-    lengths = np.linalg.norm(prototypes, axis=1, keepdims=True)
-    return Model(tuple(names), prototypes / np.where(lengths > 0, lengths, 1), s)
+    prototypes[[place[x] for x in table["lang"].to_pylist()], table["i"].to_pylist()] = table["v"].to_pylist()
+    lengths = np.linalg.norm(prototypes, axis=1)
+    # A language without a letter has taught nothing.
+    names = [name for name, length in zip(names, lengths, strict=True) if length > 0]
+    return Model(tuple(names), prototypes[lengths > 0] / lengths[lengths > 0, None], s)
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
@@ -129,20 +165,19 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
     def compare(batches):
         model = shared.value
-        vectors = _vectors(model.settings)
-        prototypes = model.prototypes.astype(np.float32)
+        vectors = _Vectors(model.settings)
         for batch in batches:
             names, scores = [], []
             for _, texts in _runs(column_of(batch, "text")):
-                text, code, n = trigrams(texts)
+                text, grams, n = trigrams(texts)
                 cuts = np.searchsorted(text, np.arange(len(texts) + 1))
                 for a, b in zip(cuts[:-1], cuts[1:], strict=True):
                     if a == b or not len(model.languages):
                         names.append(UNKNOWN)
                         scores.append(0.0)
                         continue
-                    profile = n[a:b].astype(np.float32) @ vectors[code[a:b]].astype(np.float32)
-                    cosines = prototypes @ profile / max(float(np.linalg.norm(profile)), 1e-9)
+                    profile = vectors.profile(grams[a:b], n[a:b])
+                    cosines = model.prototypes @ profile / max(float(np.linalg.norm(profile)), 1e-9)
                     best = int(np.argmax(cosines))
                     names.append(model.languages[best])
                     scores.append(float(np.clip(cosines[best], 0, 1)))

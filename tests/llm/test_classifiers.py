@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import re
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -35,16 +38,43 @@ def test_languages_of_held_out_documents(spark):
     assert found.where("lang = lang_pred").count() >= 0.99 * found.count()
 
 
-def test_profile_is_the_sum_of_bound_vectors():
-    s = hd.Settings(dimension=64)
-    _, code, n = hd.trigrams(["Abca!! b"])
-    letters = hd.np.random.default_rng(s.seed).choice(hd.np.array([-1, 1], hd.np.int8), (hd.SYMBOLS, 64))
-    symbols = [0, 1, 2, 3, 1, 0, 2, 0]
-    expected = sum(
-        hd.np.roll(letters[a], 2) * hd.np.roll(letters[b], 1) * letters[c].astype(int)
-        for a, b, c in zip(symbols, symbols[1:], symbols[2:], strict=False)
-    )
-    assert ((n[:, None] * hd._vectors(s)[code]).sum(0) == expected).all()
+def plain_profile(text, vectors):
+    """Every n-gram on its own."""
+    letters = re.sub("\n+", "\n", "".join(c if c.isalpha() else "\n" for c in f"\n{text.lower()}\n"))
+    points = [0 if c == "\n" else ord(c) for c in letters]
+    total = np.zeros(vectors.settings.dimension)
+    for three in zip(points, points[1:], points[2:], strict=False):
+        own = [vectors.rows[vectors.row[p]].astype(int) for p in three]
+        total += np.roll(own[0], 2) * np.roll(own[1], 1) * own[2]
+    return total
+
+
+def test_profiles_are_sums_of_bound_vectors():
+    vectors = hd._Vectors(hd.Settings(dimension=64))
+    texts = ["Abca!! b", "", "Ünï \U00010400\U00010428x", "123", "漢字かな" * 30]
+    text, trigrams, n = hd.trigrams(texts)
+    for k, own in enumerate(texts):
+        found = vectors.profile(trigrams[text == k], n[text == k])
+        assert (found == plain_profile(own, vectors)).all()
+    known = np.flatnonzero(vectors.row >= 0)
+    assert len({tuple(vectors.rows[vectors.row[p]]) for p in known}) == len(known)
+
+
+def test_languages_equal_plain_cosines(spark):
+    rows = [
+        (1, "le petit chat et la souris", "fr"), (2, "the small cat and the mouse", "en"), (3, "кот и мышь", "ru"),
+        (4, "the end", "en"), (5, "мышь", None), (6, "la fin", None), (7, "12", "en"), (8, "and so", None),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    model = hd.fit(docs, F.lit(True))
+    vectors = hd._Vectors(model.settings)
+    vectors.bound(hd.trigrams([r[1] for r in rows])[1])
+    learnt = {k: sum(plain_profile(r[1], vectors) for r in rows if r[2] == k) for k in ("en", "fr", "ru")}
+    for row in hd.identify(docs, model).collect():
+        own = plain_profile(rows[row.doc_id - 1][1], vectors)
+        cosines = {k: own @ v / (np.linalg.norm(own) * np.linalg.norm(v) or 1) for k, v in learnt.items()}
+        best = max(cosines, key=cosines.get) if row.doc_id != 7 else "und"
+        assert row.lang_pred == best and row.score == pytest.approx(cosines.get(best, 0), abs=1e-9)
 
 
 @pytest.mark.parametrize("with_labels", [True, False])

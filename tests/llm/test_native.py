@@ -64,6 +64,9 @@ CASES = [
     ("+1 (136) 555-7479. +1 2", "phone:0:17"),
     ("IBAN GB82 WEST 1234 5698 7654 32.", "iban:5:32"),
     ("IBAN GB83 WEST 1234 5698 7654 32 xGB82WEST12345698765432", ""),
+    ("SSN 123-45-6789 and far from any such word, where nothing is said of it, 123-45-6780", "ssn:4:15"),
+    ("ssn 0123-45-6789 ssn 123-45-67890", ""),
+    ("🙂" * 1020 + " IBAN GB82WEST12345698765432 " + "é" * 2000 + " social 123-45-6789", "iban:1026:1048,ssn:3057:3068"),
     ("1" * 30_000 + " " + "a" * 5000, ""),
     ("", ""),
     (None, ""),
@@ -83,6 +86,20 @@ def test_context_raises_a_score(spark):
     assert first == pytest.approx(0.8) and second == pytest.approx(0.6)
 
 
+def test_many_matches_of_one_text(spark):
+    """Places are counted over blocks; the work grows with the matches."""
+    texts = ["12 345 " * n for n in (1, 127, 128, 129, 20_000)] + ["ab@c.de, " * n for n in (255, 256, 257, 8_000)]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    for row in pd_.personal_data(docs).collect():
+        expected = [m.span() for m in re.finditer(r"[a-z]+@[a-z]+\.[a-z]+", row.text)]
+        assert [(s.start, s.end) for s in row.spans if s.kind == 0] == expected
+
+
+def test_a_clashing_column_is_refused(spark):
+    with pytest.raises(ValueError, match="spans"):
+        pd_.personal_data(spark.createDataFrame([("a", 1)], "text string, spans int"))
+
+
 def test_mixture_meets_its_limits(spark):
     rows = [(i, "t " * 10, "big" if i < 700 else f"small{i % 3}") for i in range(1000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
