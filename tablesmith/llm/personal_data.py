@@ -10,7 +10,7 @@ scores below ``ENOUGH`` is dropped, so a number without a checksum needs its con
 The positions come from the lengths of the matches and of the text between them, which two functions
 give for one pattern, added up in blocks. What is around a span is looked up in pieces of the text, so
 the work is linear in the text and its matches. Defined cases: a NULL or empty text has no spans; positions count code points;
-spans of several kinds may overlap; repeated rows are searched alike; other columns are kept, and an input column named like the new one is refused.
+spans of several kinds may overlap; repeated rows are searched alike; other columns are kept, but for one named like the new column, which takes its place.
 """
 
 from __future__ import annotations
@@ -175,8 +175,6 @@ def _kept(pieces: Column, kind: int, spans: Column) -> Column:
 def personal_data(docs: DataFrame, text_col: str = "text", spans_col: str = "spans") -> DataFrame:
     """``docs`` with ``spans``: ``array<struct<start, kind, end, score>>`` by start, then by kind, a
     place in ``KINDS``."""
-    if spans_col in docs.columns:
-        raise ValueError(f"There is a column {spans_col!r} already; name another with spans_col")
     text = F.coalesce(F.col(text_col), F.lit(""))
     made = uuid.uuid4().hex
     names, pieces = [f"{k.name}_{made}" for k in KINDS], f"pieces_{made}"

@@ -19,6 +19,7 @@ table gives an empty result. Tokens are words between ASCII white space.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -29,6 +30,8 @@ from .shared import written
 BROADCAST_ROWS = 500_000
 #: The exponent is found to one part in 2**STEPS, LEVELS bisections at a time.
 STEPS, LEVELS = 20, 5
+#: What a document of the mixture has besides its own columns; old ones of these names are replaced.
+NEW_COLUMNS = ("mix_cell", "mix_epoch", "mix_turn")
 
 
 @dataclass(frozen=True)
@@ -144,11 +147,12 @@ def mixed_documents(docs: DataFrame, settings: Settings | None = None, id_col="d
     s = settings or Settings()
     turns, _ = written(schedule(docs, s, id_col, source_col), "turns")
     small = turns.count() <= BROADCAST_ROWS
-    turns = turns.select(
-        F.col("source").alias("mix_source"), F.col("cell").alias("mix_cell"),
-        F.col("epoch").alias("mix_epoch"), F.col("turn").alias("mix_turn"),
-    )
+    made = uuid.uuid4().hex
+    source, cell, epoch, turn, of = (f"{name}_{made}" for name in ("source", "cell", "epoch", "turn", "of"))
+    turns = turns.toDF(source, cell, epoch, turn)
     turns = F.broadcast(turns) if small else turns
-    here = docs.withColumn("mix_of", _draw(s.seed, id_col) % s.cells)
-    same = here[source_col].cast("string").eqNullSafe(F.col("mix_source")) & (F.col("mix_of") == F.col("mix_cell"))
-    return here.join(turns, same).drop("mix_source", "mix_of")
+    kept = [F.col(f"`{name}`") for name in docs.columns if name not in NEW_COLUMNS]
+    here = docs.withColumn(of, _draw(s.seed, id_col) % s.cells)
+    same = here[source_col].cast("string").eqNullSafe(F.col(source)) & (F.col(of) == F.col(cell))
+    new = [F.col(have).alias(name) for have, name in zip((cell, epoch, turn), NEW_COLUMNS, strict=True)]
+    return here.join(turns, same).select(*kept, *new)

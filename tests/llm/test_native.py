@@ -95,9 +95,15 @@ def test_many_matches_of_one_text(spark):
         assert [(s.start, s.end) for s in row.spans if s.kind == 0] == expected
 
 
-def test_a_clashing_column_is_refused(spark):
-    with pytest.raises(ValueError, match="spans"):
-        pd_.personal_data(spark.createDataFrame([("a", 1)], "text string, spans int"))
+def test_new_columns_take_the_place_of_old_ones(spark):
+    docs = spark.createDataFrame([(1, "a@b.c", "s", 1, 2, 3, 4, 5, 6)], [
+        "doc_id", "text", "source", "spans", "mix_cell", "mix_epoch", "mix_turn", "mix_source", "mix_of"])
+    found = pd_.personal_data(docs)
+    assert sorted(found.columns) == sorted(docs.columns) and len(found.first().spans) == 1
+    mixed = tm.mixed_documents(docs)
+    row = mixed.first()
+    assert mixed.columns == ["doc_id", "text", "source", "spans", "mix_source", "mix_of", "mix_cell", "mix_epoch", "mix_turn"]
+    assert (row.mix_source, row.mix_of, row.mix_epoch, row.mix_turn) == (5, 6, 0, 0.5)
 
 
 def test_mixture_meets_its_limits(spark):
