@@ -31,7 +31,7 @@ LANE = 128
 BLOCK_TOKENS = 1 << 20
 PART_TOKENS = 1 << 23
 #: Pieces in each of two generations that a worker remembers, about 150 bytes each.
-CACHED_WORDS = 1 << 17
+CACHED_WORDS = 1 << 19
 #: Pieces that are encoded with one call.
 TOGETHER = 1000
 _TAIL = ".,!$%&#*?;:"
@@ -77,7 +77,7 @@ class _WordIds:
         for piece in self._remembered(pieces):
             # Below U+0100 case folding is the same everywhere and nothing composes; punctuation after a
             # letter is always a token run of its own.
-            if "<|" not in piece and max(piece) < "Ā":
+            if (piece.isascii() or max(piece) < "Ā") and "<|" not in piece:
                 plain = piece.lower()
                 core = plain.rstrip(_TAIL)
                 if core and core != piece and (core == plain or core[-1].isalpha()):
