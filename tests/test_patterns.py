@@ -12,6 +12,7 @@ from tablesmith import Condition, FromItem, Items
 from tablesmith.operators import patterns
 from tablesmith.operators.delete import delete_per_item
 from tablesmith.operators.select import select_per_item
+from tablesmith.sources.items import bind_items
 
 WORDS = ["amber", "birch", "cedar", "ambrosia", "xbircha", "a.b", "a(b", "😀pine", "", None]
 LIKES = ["amb%", "%irch%", "_edar", "%", "am_er", "ce%ar", "%ines", "%pine", "a\\_b%", None, "%zzz%"]
@@ -96,3 +97,44 @@ def test_no_rows_and_no_items(spark):
     assert select_per_item(spark.createDataFrame([(1, "birch")], df.schema), none, where)[0].count() == 0
     change = delete_per_item(spark.createDataFrame([(1, "birch")], df.schema), none, where)
     assert change.image.count() == 1
+
+
+FIXED = {
+    "like": ["7%", "%7_", "__3%", "%12", "_", "%5__", "9%1", "%1%", "12_45%", "%9999999999999999999"],
+    "regexpLike": ["^7", "7[05]$", "^..3", "12$", "^.$", "5..$", "^9.*1$", "^12*$", "^1?2$", "1+$", "7.?$", r"\d2$", "(1|2)3$", "x5$|3$"],
+}
+
+
+@pytest.mark.parametrize("name", ["like", "regexpLike"])
+def test_short_runs_in_fixed_places_are_keys(spark, name):
+    rng = random.Random(5)
+    numbers = [rng.randrange(10 ** rng.randint(1, 7)) for _ in range(300)]
+    df = spark.createDataFrame(list(enumerate(numbers)), "id int, n long")
+    items = list(enumerate(FIXED[name]))
+    where = [Condition("n", name, FromItem("p"))]
+    found, _ = select_per_item(df, Items(spark.createDataFrame(items, "item long, p string")), where)
+    holds = like if name == "like" else regular
+    expected = [(i, *row) for i, p in items for row in enumerate(numbers) if holds(p, str(row[1]))]
+    assert sorted(map(tuple, found.collect())) == sorted(expected)
+
+
+def test_runs_before_a_last_line_break(spark):
+    rows = [(i, f"x12{end}") for i, end in enumerate(["", "\n", "\r\n", "\u2028", "\n\n", " "])]
+    df = spark.createDataFrame(rows, "id int, s string")
+    items = Items(spark.createDataFrame([(0, "12$")], "item long, p string"))
+    found, _ = select_per_item(df, items, [Condition("s", "regexpLike", FromItem("p"))])
+    assert sorted(r.id for r in found.collect()) == sorted(r.id for r in df.where("s rlike '12$'").collect())
+
+
+def test_keys_in_fixed_places_meet_little_more_than_they_match(spark):
+    """Every row once met all patterns that shared one of its grams, and tried the short ones."""
+    df = spark.range(20_000).select(F.col("id").alias("n"))
+    parts = spark.range(3_000).select(F.col("id").alias("item"), F.concat(F.lit("%"), F.col("id").cast("string"), F.lit("_")).alias("p"))
+    where = [Condition("n", "like", FromItem("p"))]
+    bound = bind_items(Items(parts), df.schema, where)
+    keyed = patterns.keyed_items(df, bound, where, 0)
+    assert keyed.rest.valid.isEmpty() and keyed.keyed.count() == 3_000
+    keys = keyed.keyed.select(patterns._GRAM)
+    offered = df.select(F.explode(patterns._offered(F.col("n").cast("string"), "like", patterns._shapes(keys))).alias(patterns._GRAM))
+    met = offered.join(keys, patterns._GRAM).count()
+    assert met == patterns.select_by_patterns(df, keyed.keyed, where, 0).count()
