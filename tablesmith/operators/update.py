@@ -172,7 +172,7 @@ def _update_by_bands(df, bound, changed, where, band):
     )
     hit = functools.reduce(op.or_, [F.col(f"__v{j}").isNotNull() for j in changed.values()])
     valid = bound.valid.select(F.col(ITEM).alias("item"))
-    counts = valid.join(counts_by_bands(df, tiles, where), "item", "left").select("item", counted_rows())
+    counts = valid.join(counts_by_bands(df, tiles.items, where, band), "item", "left").select("item", counted_rows())
     return image, counts, marked.where(hit)
 
 

@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablesmith import Condition, FromItem, Items
+from tablesmith.functions.ordering import SortRule
 from tablesmith.operators import bands
 from tablesmith.operators.delete import delete_per_item
 from tablesmith.operators.select import select_per_item
@@ -137,3 +138,40 @@ def test_the_table_is_read_once_for_many_items(spark, tmp_path):
     expected = df.where("v >= 0").agg(F.sum(F.expr("least(v div 10, 99999) - greatest(ceil((v - 14) / 10.0), 0) + 1"))).first()[0]
     within = df.where("v < 1000015").agg(F.sum(F.expr("greatest(least(v div 10, 99999) - greatest(cast(ceil((v - 14) / 10.0) as long), 0) + 1, 0)"))).first()[0]
     assert expected is not None and found.count() == within
+
+
+@pytest.mark.parametrize("where", TEMPLATES[:3])
+@pytest.mark.parametrize("direction", ["ASC", "DESC"])
+def test_first_rows_of_each_range(spark, narrow, monkeypatch, where, direction):
+    """The first rows by the compared column are taken by their places, without all pairs."""
+    monkeypatch.setattr(bands, "select_by_bands", None)
+    rng = random.Random(len(where))
+    values = [float("inf"), -0.0, 0.0, *[rng.randint(-20, 20) / 2 for _ in range(20)]]
+    rows, items = cases(rng, 200, 60, values)
+    df = spark.createDataFrame(rows, "id int, v double, s string")
+    batch = Items(spark.createDataFrame(items, "item long, low double, high double, s string"))
+    found, _ = select_per_item(df, batch, where, sort=[SortRule("v", direction), SortRule("id")], limit=3)
+    sign = -1 if direction == "DESC" else 1
+    expected = []
+    for item in items:
+        own = sorted((sign * row[1], row[0]) for row in rows if holds(row, item, where))
+        expected += [(item[0], row_id) for _, row_id in own[:3]]
+    assert sorted((r.item, r.id) for r in found.collect()) == sorted(expected)
+
+
+def test_numbers_are_placed_without_the_edges_in_every_row(spark, narrow):
+    df = spark.range(300).select("id", (F.col("id") % 50).cast("double").alias("v"))
+    items = Items(spark.range(200).select(F.col("id").alias("item"), (F.col("id") % 40).alias("low")))
+    where = [Condition("v", "greaterThan", FromItem("low"))]
+    found, _ = select_per_item(df, items, where)
+    plan = found._jdf.queryExecution().analyzed().toString()
+    assert "__edges" not in plan
+    assert found.count() == sum(i % 50 > k % 40 for i in range(300) for k in range(200))
+
+
+def test_other_types_are_placed_in_the_array_of_edges(spark, narrow):
+    values = [Decimal(k * 7 % 31) / 10 for k in range(60)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, v decimal(9,2)")
+    batch = Items(spark.createDataFrame([(k, Decimal(k) / 10) for k in range(30)], "item long, low decimal(9,2)"))
+    found, _ = select_per_item(df, batch, [Condition("v", "greaterThan", FromItem("low"))])
+    assert found.count() == sum(v > Decimal(k) / 10 for v in values for k in range(30))
