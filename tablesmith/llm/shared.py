@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 #: Bytes of text that are looked at together; a longer text is looked at alone.
@@ -110,6 +111,17 @@ def kept_by(owner: str) -> dict:
     return _kept.setdefault(owner, {})
 
 
+def runs(column: pa.Array, size: int) -> Iterator[tuple[int, int]]:
+    """Runs of whole texts of about ``size`` bytes: first text, number of texts."""
+    ends = np.cumsum(pc.binary_length(column).fill_null(0).to_numpy(), dtype=np.int64)
+    first = 0
+    while first < len(column):
+        before = ends[first - 1] if first else 0
+        last = max(int(np.searchsorted(ends, before + size, "right")), first + 1)
+        yield first, last - first
+        first = last
+
+
 def slices(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Runs of whole texts of about ``SLICE_BYTES``: first text, bytes, offsets."""
     kept_by("slices")

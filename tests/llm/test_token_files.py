@@ -3,11 +3,13 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
 from tablesmith.llm import huffman_ids as h
+from tablesmith.llm.shared import runs
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -74,6 +76,24 @@ def test_pieces_are_encoded_together_and_forgotten(monkeypatch):
             assert len(words.old) < 400
 
 
+def test_plain_words_go_to_the_model_once(monkeypatch):
+    tokenizer, words, encoded, modelled = Tokenizer.from_file(PATH), h._WordIds(PATH), [], []
+    encode, of_model = words._encode, words._of_model
+    monkeypatch.setattr(words, "_encode", lambda pieces: (encoded.extend(pieces), encode(pieces))[1])
+    monkeypatch.setattr(words, "_of_model", lambda some: (modelled.extend(some), of_model(some))[1])
+    texts = ["Straße, ÉCOLE école. Ñandú&&& STOP stop! Stop", "", None, "stop\n\nécole it's µm ½ a×b ẞ K\u0301 İ", "x²"]
+    ids = words.encoded(pa.array(texts * 3), b"\x01\x00").to_pylist()
+    assert ids == [np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 1], words.kind).tobytes() for t in texts * 3]
+    assert sorted(modelled) == ["stop", "straße", "école", "ñandú"]
+    assert not {"Straße,", "straße", "stop", "STOP", "école.", "&&&&"} & set(encoded) and "it's" in encoded and "ẞ" in encoded
+
+
+def test_long_texts_make_runs_of_their_own():
+    texts = pa.array(["ab", None, "x" * 50, "", "abc", "abcdefgh", "é"])
+    assert list(runs(texts, 10)) == [(0, 2), (2, 1), (3, 2), (5, 2)]
+    assert list(runs(texts.slice(2, 4), 100)) == [(0, 4)] and list(runs(texts.slice(0, 0), 10)) == []
+
+
 def test_no_documents(spark, nothing):
     assert read(spark, nothing) == []
 
