@@ -17,14 +17,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from .labelled import labelled_sample
-from .shared import Words, column_of, grams, slices, written
+from .shared import Words, binary_array, column_of, give_back, grams, slices
 
 #: Bytes that are no part of a word: ASCII but digits and letters.
 SEPARATORS = bytes(range(0x30)) + bytes(range(0x3A, 0x41)) + bytes(range(0x5B, 0x61)) + bytes(range(0x7B, 0x80))
 _WORDS = Words(SEPARATORS)
+#: Places whose changes are one row.
+CHANGES = 1 << 14
 
 
 @dataclass(frozen=True)
@@ -98,43 +101,63 @@ def _coordinates(rows: DataFrame, s: Settings) -> np.ndarray:
                 index, text = features(data, offsets, s.bits)
                 found, n = np.unique(_distinct(text, index) & 0xFFFFFFFF, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n)], names=["at", "n"])
+        give_back()
 
     counts = rows.select("text").mapInArrow(every, "at long, n long").groupBy("at").agg(F.sum("n").alias("n"))
     return np.sort(counts.where(F.col("n") >= s.min_docs).select("at").toArrow()["at"].to_numpy())
 
 
+def _places(rows: DataFrame, shared, s: Settings) -> DataFrame:
+    """``label`` and each text's places in the shared list of coordinates, in the order of ``rows``."""
+
+    def place(batches):
+        known = shared.value
+        for batch in batches:
+            labels = column_of(batch, "label")
+            for first, data, offsets in slices(column_of(batch, "text")):
+                pair = _distinct(*features(data, offsets, s.bits)[::-1])
+                index = pair & 0xFFFFFFFF
+                found = np.searchsorted(known, index)
+                hit = np.append(known, -1)[found] == index
+                cuts = np.searchsorted(pair[hit] >> 32, np.arange(len(offsets)))
+                places = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(found[hit], pa.int32()))
+                yield pa.RecordBatch.from_arrays([labels.slice(first, len(places)), places], names=["label", "places"])
+        give_back()
+
+    return rows.mapInArrow(place, "label int, places array<int>")
+
+
 def _round(rows: DataFrame, shared, s: Settings) -> DataFrame:
-    """Changes of ``z`` and ``n`` by place in the list of coordinates, summed over shards. The last
-    place is the bias."""
+    """Changes of ``z`` and ``n``, summed over shards, in blocks of ``CHANGES`` places in the list of
+    coordinates. The last place is the bias. ``rows`` are those of ``_places``."""
 
     def learn(batches):
-        known, z0, n0 = shared.value
+        z0, n0 = shared.value
         z, n = z0.astype(float), n0.astype(float)
-        touched = np.zeros(len(z), bool)
         for batch in batches:
-            labels = np.array(column_of(batch, "label"))
-            for first, data, offsets in slices(column_of(batch, "text")):
-                index, text = features(data, offsets, s.bits)
-                pair = _distinct(text, index)
-                index = pair & 0xFFFFFFFF
-                place = np.searchsorted(known, index)
-                hit = np.append(known, -1)[place] == index
-                place, cuts = place[hit], np.searchsorted(pair[hit] >> 32, np.arange(len(offsets)))
-                for k in range(len(offsets) - 1):
-                    at = np.append(place[cuts[k] : cuts[k + 1]], len(known))
-                    w = _step(s, z, n, at)
-                    w[-1] = -z[-1] / ((s.beta + np.sqrt(n[-1])) / s.alpha + s.l2)
-                    g = _sigmoid(w.sum()) - labels[first + k]
-                    z[at] += g - (np.sqrt(n[at] + g * g) - np.sqrt(n[at])) / s.alpha * w
-                    n[at] += g * g
-                    touched[at] = True
-        at = np.flatnonzero(touched)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(at), pa.array(z[at] - z0[at]), pa.array(n[at] - n0[at])], names=["at", "dz", "dn"]
+            labels, lists = np.array(column_of(batch, "label")), column_of(batch, "places")
+            places, cuts = lists.values.to_numpy(), lists.offsets.to_numpy()
+            for k, label in enumerate(labels):
+                at = np.append(places[cuts[k] : cuts[k + 1]], len(z) - 1)
+                w = _step(s, z, n, at)
+                w[-1] = -z[-1] / ((s.beta + np.sqrt(n[-1])) / s.alpha + s.l2)
+                g = _sigmoid(w.sum()) - label
+                z[at] += g - (np.sqrt(n[at] + g * g) - np.sqrt(n[at])) / s.alpha * w
+                n[at] += g * g
+        for block, first in enumerate(range(0, len(z), CHANGES)):
+            part = slice(first, first + CHANGES)
+            dz, dn = (binary_array([x.tobytes()]) for x in (z[part] - z0[part], n[part] - n0[part]))
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), dz, dn], names=["block", "dz", "dn"])
+        give_back()
+
+    def add(shards):
+        total = (
+            sum(np.frombuffer(x.as_buffer(), float) for x in shards[name].combine_chunks()).tobytes() for name in ("dz", "dn")
         )
+        return pa.table([shards["block"].slice(0, 1), *map(binary_array, ([x] for x in total))], names=["block", "dz", "dn"])
 
-    changes = rows.mapInArrow(learn, "at long, dz double, dn double")
-    return changes.groupBy("at").agg(F.sum("dz").alias("dz"), F.sum("dn").alias("dn"))
+    schema = "block int, dz binary, dn binary"
+    return rows.mapInArrow(learn, schema).groupBy("block").applyInArrow(add, schema)
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str, learn_from, settings: Settings | None = None) -> Model:
@@ -147,24 +170,32 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, learn_from, settings: Se
         .sortWithinPartitions(F.xxhash64("doc_id", F.lit("order")), "doc_id", "text")
         .select("text", "label")
     )
-    # The sample, some megabytes, is read once more by each round, a shard by one task.
-    rows = dealt.persist()
+    # The sample, some megabytes, is read twice; its places once more by each round, a shard by one task.
+    texts = dealt.persist(StorageLevel.DISK_ONLY)
+    context, rows = texts.sparkSession.sparkContext, None
     try:
-        known = _coordinates(rows, s)
+        known = _coordinates(texts, s)
+        coordinates = context.broadcast(known)
+        rows = _places(texts, coordinates, s).persist(StorageLevel.DISK_ONLY)
         z, n = np.zeros(len(known) + 1, np.float32), np.zeros(len(known) + 1, np.float32)
         share = rows.agg(F.avg("label")).first()[0]
+        texts.unpersist()
         if share is not None:  # the bias begins at the share of label 1
             share = min(max(share, 0.001), 0.999)
             z[-1] = -np.log(share / (1 - share)) * (s.beta / s.alpha + s.l2)
         for _ in range(s.rounds):
-            shared = rows.sparkSession.sparkContext.broadcast((known, z, n))
-            change = _round(rows, shared, s).toArrow()  # a row per coordinate at most
+            shared = context.broadcast((z, n))
+            changes = _round(rows, shared, s).toArrow()  # two numbers per coordinate
             shared.destroy()
-            at = change["at"].to_numpy()
-            z[at] += change["dz"].to_numpy()
-            n[at] += change["dn"].to_numpy()
+            for block, dz, dn in zip(*(changes[name] for name in ("block", "dz", "dn")), strict=True):
+                part = slice(block.as_py() * CHANGES, (block.as_py() + 1) * CHANGES)
+                z[part] += np.frombuffer(dz.as_buffer(), float)
+                n[part] += np.frombuffer(dn.as_buffer(), float)
+        coordinates.destroy()
     finally:
-        rows.unpersist()
+        texts.unpersist()
+        if rows is not None:
+            rows.unpersist()
     w = _step(s, z, n, np.arange(len(known)))
     used = np.flatnonzero(w)
     bias = -z[-1] / ((s.beta + np.sqrt(n[-1])) / s.alpha + s.l2)
@@ -189,21 +220,21 @@ def _scorer(docs: DataFrame, model: Model, whole: bool, name: str = "score"):
         model = shared.value
         seen = model.seen()
         for batch in batches:
-            out = []
-            for _, data, offsets in slices(column_of(batch, "text")):
+            for first, data, offsets in slices(column_of(batch, "text")):
                 index, text = features(data, offsets, model.bits)
                 hit = model.found(index, seen)
                 pair = _distinct(text[hit], index[hit])
                 weight = model.weight[np.searchsorted(model.index, pair & 0xFFFFFFFF)] if len(pair) else None
                 total = np.bincount(pair >> 32, weight, len(offsets) - 1)
-                out.append(_sigmoid(total + model.bias))
-            scores = pa.array(np.concatenate(out) if out else np.zeros(0))
-            if whole:
-                names = [*batch.schema.names, name]
-                yield pa.RecordBatch.from_arrays([*batch.columns, scores], names=names)
-            else:
-                ids = column_of(batch, "doc_id").cast(pa.int64())
-                yield pa.RecordBatch.from_arrays([ids, scores], names=["doc_id", "score"])
+                scores = pa.array(_sigmoid(total + model.bias))
+                some = batch.slice(first, len(scores))
+                if whole:
+                    names = [*batch.schema.names, name]
+                    yield pa.RecordBatch.from_arrays([*some.columns, scores], names=names)
+                else:
+                    ids = column_of(some, "doc_id").cast(pa.int64())
+                    yield pa.RecordBatch.from_arrays([ids, scores], names=["doc_id", "score"])
+        give_back()
 
     return score
 

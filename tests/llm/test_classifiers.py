@@ -107,3 +107,37 @@ def test_columns_stay_when_toxic_rows_go(spark, awkward, labels, nothing):
 def ft_word(word):
     index, _ = ft.features(ft.np.frombuffer(word.encode(), ft.np.uint8), ft.np.array([0, len(word)]), 24)
     return index[:1], ft.np.array([9.0])
+
+
+def test_rounds_of_toxicity_equal_a_plain_loop(spark, monkeypatch):
+    monkeypatch.setattr(ft, "CHANGES", 16)
+    texts = [f"w{i % 7} bad{i % 3} same words w{i % 5}, Here" if i % 4 else f"w{i % 6} fine same" for i in range(60)]
+    docs = spark.createDataFrame(list(enumerate([*texts, "", None])), "doc_id long, text string")
+    marks = spark.createDataFrame([(i, int(i % 4 > 0 and i % 3 == 0)) for i in range(62)], "doc_id long, toxic int")
+    s = ft.Settings(rounds=3, l1=0.1)
+    rows = (
+        docs.join(marks, "doc_id").withColumnRenamed("toxic", "label")
+        .repartitionById(2, (F.col("doc_id") % 2).cast("int")).sortWithinPartitions("doc_id").select("text", "label")
+    )
+    known = ft._coordinates(rows, s)
+    context = spark.sparkContext
+    placed = ft._places(rows, context.broadcast(known), s)
+    state = np.linspace(-1, 1, len(known) + 1).astype(np.float32), np.linspace(0, 2, len(known) + 1).astype(np.float32)
+    blocks = {r.block: r for r in ft._round(placed, context.broadcast(state), s).collect()}
+    assert sorted(blocks) == list(range(-(-(len(known) + 1) // 16))) and len(blocks) > 2
+    change = [np.concatenate([np.frombuffer(blocks[b][k]) for b in sorted(blocks)]) for k in ("dz", "dn")]
+    expected = [np.zeros(len(known) + 1), np.zeros(len(known) + 1)]
+    for shard in (0, 1):
+        z, n = (x.astype(float) for x in state)
+        for i in range(shard, 62, 2):
+            data = ([*texts, "", ""][i]).encode()
+            found = np.unique(ft.features(np.frombuffer(data, np.uint8), np.array([0, len(data)]), s.bits)[0])
+            at = [*np.flatnonzero(np.isin(known, found)), len(known)]
+            scale = (s.beta + np.sqrt(n[at])) / s.alpha + s.l2
+            w = np.where(np.abs(z[at]) <= s.l1, 0, (np.sign(z[at]) * s.l1 - z[at]) / scale)
+            w[-1] = -z[-1] / scale[-1]
+            g = 1 / (1 + np.exp(-w.sum())) - int(i % 4 > 0 and i % 3 == 0)
+            z[at] += g - (np.sqrt(n[at] + g * g) - np.sqrt(n[at])) / s.alpha * w
+            n[at] += g * g
+        expected = [e + x - y for e, x, y in zip(expected, (z, n), state, strict=True)]
+    assert np.allclose(change, expected, rtol=1e-12, atol=1e-12)
