@@ -31,4 +31,4 @@ def test_stages_keep_the_columns_and_clean_documents(spark):
 
 def test_every_operator_is_registered_once():
     names = [n for n in entry_points.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in entry_points.queries()
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in entry_points.queries()
