@@ -1,7 +1,7 @@
 """Token ids in files: length-limited canonical Huffman code in independent blocks.
 
 The ids of all documents are counted, the counts give one code, and documents are written in
-ascending ``doc_id`` order as blocks. A file set is a folder with
+ascending ``doc_id`` order, or in the order they come in, as blocks. A file set is a folder with
 
 * ``code``: one row per used id, ``(id, bits)``. The code is canonical: codes count up by length,
   then by id, so lengths are all a reader needs.
@@ -26,7 +26,8 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from .shared import binary_array, column_of, dropped, give_back, kept_by, new_path, runs, written
@@ -181,8 +182,25 @@ def _encoder(path: str) -> _WordIds:
     return encoders[path]
 
 
-def token_ids(docs: DataFrame, tokenizer: str, end_id: int, id_col="doc_id", text_col="text") -> DataFrame:
-    """``doc_id``, ``n_tokens`` and ``ids`` (little-endian) of every whole text, with the end id."""
+def _place(docs: DataFrame) -> Column:
+    """A number that rises with the rows: in a table that Spark wrote by the number of the file and the row
+    in it, else by partition."""
+    try:
+        at = docs.metadataColumn("_metadata")
+        name, row = at["file_name"], at["row_index"]
+        docs.select(row)
+    except AnalysisException:
+        return F.monotonically_increasing_id()
+    # part-<task>-...-c<file of the task>; files of other names come first.
+    task, file = (F.regexp_extract(name, x, 1).try_cast("long") for x in (r"^part-(\d+)", r"-c(\d+)\."))
+    task, file = F.coalesce(task, F.lit(0)), F.coalesce(file, F.lit(0))
+    return F.shiftleft(task, 41) + F.shiftleft(F.least(file, F.lit(1023)), 31) + row
+
+
+def token_ids(docs: DataFrame, tokenizer: str, end_id: int, id_col="doc_id", text_col="text", in_order=False) -> DataFrame:
+    """``doc_id``, ``n_tokens`` and ``ids`` (little-endian) of every whole text, with the end id; and the row's
+    ``place`` among all rows, if asked for."""
+    more = ["place"] if in_order else []
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _encoder(tokenizer)
@@ -193,12 +211,14 @@ def token_ids(docs: DataFrame, tokenizer: str, end_id: int, id_col="doc_id", tex
                 ids = words.encoded(texts.slice(first, n), end)
                 sizes = pc.divide(pc.binary_length(ids).cast(pa.int64()), words.kind.itemsize)
                 yield pa.RecordBatch.from_arrays(
-                    [column_of(batch, "doc_id").slice(first, n), sizes, ids], names=["doc_id", "n_tokens", "ids"]
+                    [column_of(batch, "doc_id").slice(first, n), sizes, ids, *[column_of(batch, c).slice(first, n) for c in more]],
+                    names=["doc_id", "n_tokens", "ids", *more],
                 )
         give_back()
 
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    return source.mapInArrow(encode, "doc_id long, n_tokens long, ids binary")
+    place = [_place(docs).alias("place")] if in_order else []
+    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), *place)
+    return source.mapInArrow(encode, "doc_id long, n_tokens long, ids binary" + (", place long" if in_order else ""))
 
 
 def id_counts(ids: DataFrame, kind: str) -> DataFrame:
@@ -315,8 +335,9 @@ _BLOCKS = (
 
 
 def write_ids(ids: DataFrame, path: str, kind: str, part_tokens: int = PART_TOKENS) -> None:
-    """Write what ``token_ids`` returned, which should be a stored table as it is read three times."""
-    spark = ids.sparkSession
+    """Write what ``token_ids`` returned, which should be a stored table as it is read three times; by
+    ``place`` if it has that."""
+    spark, key = ids.sparkSession, "place" if "place" in ids.columns else "doc_id"
     counts = id_counts(ids, kind).toArrow()  # a row per id of the vocabulary at most
     used, n = counts["id"].to_numpy(), counts["n"].to_numpy()
     limit = max(16, int(len(used)).bit_length() + 1)
@@ -326,12 +347,12 @@ def write_ids(ids: DataFrame, path: str, kind: str, part_tokens: int = PART_TOKE
         list(zip(code.ids.tolist(), code.bits.tolist(), strict=True)), "id long, bits long"
     ).coalesce(1).write.parquet(f"{path}/code")
     # Rows without doc_id come first, in parts of their own.
-    unknown = ids.where("doc_id IS NULL").agg(F.sum("n_tokens")).first()[0] or 0
+    unknown = ids.where(F.col(key).isNull()).agg(F.sum("n_tokens")).first()[0] or 0
     leading = -(-unknown // part_tokens)
     parts = max(1, -(-(int(n.sum()) - unknown) // part_tokens))
     cuts = [k / parts for k in range(1, parts)]
     # Bounds need not be ids: as longs they split ids beyond 2^53 in order, too.
-    found = ids.approxQuantile("doc_id", cuts, 0.2 / parts) if cuts else []
+    found = ids.approxQuantile(key, cuts, 0.2 / parts) if cuts else []
     bounds = np.array([min(int(x), (1 << 63) - 1) for x in found], np.int64)
     shared = spark.sparkContext.broadcast((code, bounds, leading))  # a vocabulary and a number per part
 
@@ -343,20 +364,20 @@ def write_ids(ids: DataFrame, path: str, kind: str, part_tokens: int = PART_TOKE
                 raw = [x.as_py() for x in column.slice(first, 500)]
                 sizes = np.array([len(x) for x in raw], np.int64) // np.dtype(kind).itemsize
                 data, n_bytes, checkpoints, lanes = code.encode(np.frombuffer(b"".join(raw), kind), sizes)
-                doc = column_of(batch, "doc_id").slice(first, 500)
-                at = np.array(doc.fill_null(-(1 << 63)), np.int64)
+                doc, own = (column_of(batch, c).slice(first, 500) for c in ("doc_id", key))
+                at = np.array(own.fill_null(-(1 << 63)), np.int64)
                 low, high = np.searchsorted(bounds, at, "left"), np.searchsorted(bounds, at, "right")
                 data, ends = data.tobytes(), np.cumsum(n_bytes)
                 bits = [data[e - s : e] for s, e in zip(n_bytes, ends, strict=True)]
                 share = np.array([zlib.crc32(x) for x in bits], np.int64)
                 # Rows of one id are dealt over all parts that it fills.
                 part = leading + low + (share * (high - low + 1) >> 32)
-                part = np.where(np.array(doc.is_null()), share * leading >> 32, part)
+                part = np.where(np.array(own.is_null()), share * leading >> 32, part)
                 edges = pa.array(np.concatenate([[0], np.cumsum(lanes)]), pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(part, pa.int32()), doc, pa.array(share), pa.array(sizes),
+                    [pa.array(part, pa.int32()), own, doc, pa.array(share), pa.array(sizes),
                      pa.ListArray.from_arrays(edges, pa.array(checkpoints, pa.int64())), binary_array(bits)],
-                    names=["part", "doc_id", "share", "n_tokens", "checkpoints", "bits"],
+                    names=["part", "own", "doc_id", "share", "n_tokens", "checkpoints", "bits"],
                 )
 
     def block(part, number, start, rows):
@@ -390,10 +411,10 @@ def write_ids(ids: DataFrame, path: str, kind: str, part_tokens: int = PART_TOKE
 
     (
         ids.mapInArrow(
-            encode, "part int, doc_id long, share long, n_tokens long, checkpoints array<long>, bits binary"
+            encode, "part int, own long, doc_id long, share long, n_tokens long, checkpoints array<long>, bits binary"
         )
         .repartitionById(leading + parts, "part")
-        .sortWithinPartitions("part", F.asc_nulls_first("doc_id"), "share", "bits")
+        .sortWithinPartitions("part", F.asc_nulls_first("own"), "share", "bits")
         .mapInArrow(assemble, _BLOCKS)
         .write.option("compression", "zstd")
         .parquet(f"{path}/blocks")
@@ -449,10 +470,10 @@ DIGEST = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
 def encoded_documents(docs: DataFrame, tokenizer: str, end_id: int = 1, path: str | None = None,
-                      part_tokens: int = PART_TOKENS) -> str:
-    """Write the file set of ``docs`` and return its folder."""
+                      part_tokens: int = PART_TOKENS, in_order: bool = False) -> str:
+    """Write the file set of ``docs`` and return its folder: by ``doc_id``, or ``in_order`` of the rows."""
     spark = docs.sparkSession
-    kept, at = written(token_ids(docs, tokenizer, end_id), "token-ids")
+    kept, at = written(token_ids(docs, tokenizer, end_id, in_order=in_order), "token-ids")
     path = path or new_path(spark, "huffman")
     write_ids(kept, path, _encoder(tokenizer).kind.str, part_tokens)
     dropped(spark, at)

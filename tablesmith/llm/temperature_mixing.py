@@ -156,3 +156,11 @@ def mixed_documents(docs: DataFrame, settings: Settings | None = None, id_col="d
     same = here[source_col].cast("string").eqNullSafe(F.col(source)) & (F.col(of) == F.col(cell))
     new = [F.col(have).alias(name) for have, name in zip((cell, epoch, turn), NEW_COLUMNS, strict=True)]
     return here.join(turns, same).select(*kept, *new)
+
+
+def in_turn(docs: DataFrame, settings: Settings | None = None, id_col="doc_id", source_col="source") -> DataFrame:
+    """``mixed_documents`` in the order of training, from the first partition to the last; so are the files
+    it is written to."""
+    mixed = mixed_documents(docs, settings, id_col, source_col)
+    order = (F.col("mix_turn"), F.xxhash64(id_col, "text"))
+    return mixed.repartitionByRange(*order).sortWithinPartitions(*order)
