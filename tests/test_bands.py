@@ -175,3 +175,29 @@ def test_other_types_are_placed_in_the_array_of_edges(spark, narrow):
     batch = Items(spark.createDataFrame([(k, Decimal(k) / 10) for k in range(30)], "item long, low decimal(9,2)"))
     found, _ = select_per_item(df, batch, [Condition("v", "greaterThan", FromItem("low"))])
     assert found.count() == sum(v > Decimal(k) / 10 for v in values for k in range(30))
+
+
+@pytest.mark.parametrize("where", TEMPLATES)
+def test_reads_meet_blocks_in_parts_and_chunks(spark, monkeypatch, where):
+    """Values that many rows share fill several blocks, and the items of a part are dealt over chunks."""
+    for name, size in (("ROWS_PER_BLOCK", 4), ("BLOCKS_PER_PART", 3), ("ROWS_PER_CHUNK", 100)):
+        monkeypatch.setattr(bands, name, size)
+    monkeypatch.setattr(bands, "fits_broadcast", lambda df: False)
+    rng = random.Random(len(where))
+    rows, items = cases(rng, 300, 60, [0, 0, 0, 0, 5, 5, *range(-20, 20)])
+    df = spark.createDataFrame(rows, "id int, v int, s string")
+    batch = Items(spark.createDataFrame(items, "item long, low int, high int, s string"))
+    found, _ = select_per_item(df, batch, where)
+    expected = [(item[0], *row) for item in items for row in rows if holds(row, item, where)]
+    assert sorted(map(repr, map(tuple, found.collect()))) == sorted(map(repr, expected))
+
+
+def test_rows_are_not_multiplied_before_they_meet_items(spark, monkeypatch):
+    """A row is sent once for its block, however many items cover it, not once for each level of a tree."""
+    monkeypatch.setattr(bands, "fits_broadcast", lambda df: False)
+    df = spark.range(5_000).select("id", (F.col("id") * 7 % 5_000).alias("v"))
+    items = spark.range(3_000).select(F.col("id").alias("item"), (F.col("id") - 100).alias("low"))
+    found, _ = select_per_item(df, Items(items), [Condition("v", "greaterThan", FromItem("low"))])
+    assert found.count() == sum(min(5_000, 4_999 - (i - 100)) for i in range(3_000))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode") == 3  # items over parts, blocks over chunks, the rows of a block
