@@ -201,3 +201,15 @@ def test_rows_are_not_multiplied_before_they_meet_items(spark, monkeypatch):
     assert found.count() == sum(min(5_000, 4_999 - (i - 100)) for i in range(3_000))
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Generate explode") == 3  # items over parts, blocks over chunks, the rows of a block
+
+
+def test_shuffles_of_reads_do_not_grow_with_covered_rows(spark, monkeypatch):
+    """What is sent is items and rows, however many rows an item covers: a copy of an item per part."""
+    monkeypatch.setattr(bands, "fits_broadcast", lambda df: False)
+    df = spark.range(20_000).select("id", (F.col("id") * 7 % 20_000).cast("double").alias("v"))
+    items = spark.range(400).select(F.col("id").alias("item"), F.lit(0.0).alias("low"), F.lit(1e6).alias("high"))
+    sent = []
+    real = bands.Blocks.chunks
+    monkeypatch.setattr(bands.Blocks, "chunks", lambda self, copies: sent.append(copies.count()) or real(self, copies))
+    found, _ = select_per_item(df, Items(items), TEMPLATES[2])
+    assert sent == [400] and found.count() == 400 * 20_000
